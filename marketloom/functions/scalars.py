@@ -162,18 +162,14 @@ def file_captured_at(path: ColumnLike) -> Column:
 
 
 def order_key(at: ColumnLike, tie: ColumnLike | None = None) -> Column:
-    """Sort key of an instant with a deterministic tie-break.
+    """Sort key of an instant, optionally with a tie-break column.
 
-    One fixed-width decimal instead of a struct, so that ``min_by`` and
-    ``max_by`` over it keep a mutable buffer and stay a hash aggregation.
-    The factor is above twice the bigint range, so ties never reach the
-    neighbouring microsecond.
+    Without a tie-break the key is one bigint and ``min_by``/``max_by`` over it
+    run as a hash aggregation. With one it is a struct, which makes the result
+    repeatable for equal instants at the price of a sort-based aggregation.
     """
     micros = F.unix_micros(col(at).cast("timestamp"))
-    if tie is None:
-        return micros
-    step = F.lit("20000000000000000000").cast("decimal(20,0)")
-    return (micros.cast("decimal(18,0)") * step + col(tie).cast("decimal(19,0)")).cast("decimal(38,0)")
+    return micros if tie is None else F.struct(micros.alias("at"), col(tie).alias("tie"))
 
 
 def utc(value: datetime) -> datetime:

@@ -36,3 +36,13 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     """Child rows without a parent; a null reference is an orphan too."""
     present = parent.select(F.col(parent_key).alias("_parent")).distinct()
     return child.join(present, F.col(child_key) == F.col("_parent"), "left_anti")
+
+
+def latest_only(df: DataFrame, run: str) -> DataFrame:
+    """Rows of the newest run (the highest value of ``run``).
+
+    The maximum is looked up first and used as a literal, so on a table
+    partitioned by ``run`` only that partition is read.
+    """
+    newest = df.agg(F.max(run)).first()[0]
+    return df.where(F.col(run) == F.lit(newest)) if newest is not None else df.limit(0)

@@ -13,7 +13,7 @@ def daily_market(ticks: DataFrame, tie_break: Column | str | None = None,
     """Open, high, low, close and volumes per date and symbol.
 
     Open and close are the last prices of the first and the last tick. One
-    hash aggregation with map-side partials: no window, no sort, and a symbol
+    aggregation with map-side partials instead of two ranking windows: a symbol
     holding most of the ticks shrinks to one row per map task before the
     exchange. ``tie_break`` orders ticks captured at the same instant.
     """
@@ -99,10 +99,12 @@ def orders_trades(orders: DataFrame, trades: DataFrame) -> DataFrame:
     The second use of the orders reads the same exchange.
     """
     o, t = _order_columns(orders), _trade_columns(trades)
-    matched = o.join(t, o.order_id == t._order_id, "inner").drop("_order_id")
-    traded = t.select("_order_id").distinct()
-    unmatched = o.join(traded, o.order_id == traded._order_id, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    keyed = o.where(o.order_id.isNotNull())
+    matched = keyed.join(t, keyed.order_id == t._order_id, "inner").drop("_order_id")
+    traded = t.select("_order_id").where("_order_id is not null").distinct()
+    unmatched = keyed.join(traded, keyed.order_id == traded._order_id, "left_anti")
+    keyless = o.where(o.order_id.isNull())
+    return matched.unionByName(unmatched.unionByName(keyless), allowMissingColumns=True)
 
 
 def daily_trading(orders: DataFrame, trades: DataFrame, dedup: bool = False) -> DataFrame:

@@ -39,18 +39,15 @@ _MODELS: dict[str, list[tuple[str, str, str]]] = {
         ("run_id", "run_id", "string"),
     ],
 }
-# The relational tables keep their column names; only the types are imposed.
-for _name, _ddl in schemas.RELATIONAL.items():
-    _MODELS[_name] = [
-        (f.name, f.name, f.dataType.simpleString()) for f in schemas.struct(_ddl)
-    ]
-
 # Suffix of the ticker id the tabular summaries are given.
 TICKER_SUFFIX = "_IDR"
 
 
-def _project(model: str, df: DataFrame, strict: bool) -> list[Column]:
-    return [cast_to(src, to, strict).alias(out) for out, src, to in _MODELS[model]]
+def _columns(model: str) -> list[tuple[str, str, str]]:
+    """The relational tables keep their column names; only the types are imposed."""
+    if model in _MODELS:
+        return _MODELS[model]
+    return [(f.name, f.name, f.dataType.simpleString()) for f in schemas.struct(schemas.RELATIONAL[model])]
 
 
 def _stamp(now: Column | None) -> Column:
@@ -63,7 +60,7 @@ def stage(model: str, df: DataFrame, now: Column | None = None, strict: bool = T
     ``strict`` casts raise on bad text; otherwise bad text becomes NULL, for
     use with the quarantine split. ``now`` is the load time to stamp.
     """
-    columns = _project(model, df, strict)
+    columns = [cast_to(source, to, strict).alias(out) for out, source, to in _columns(model)]
     if model == "summaries":
         columns.insert(1, F.concat(F.col("pair").cast("string"), F.lit(TICKER_SUFFIX)).alias("ticker_id"))
         return df.select(*columns, _stamp(now).alias("ingested_at"))
