@@ -40,9 +40,13 @@ def _mapped(c: str, mapping: dict[str, str]) -> Column:
 
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ticks_from(table(spark, sf_dir, "events"))
+
+
+def ticks_from(events: DataFrame) -> DataFrame:
     """Staged summaries: one quote per event, the event type is the pair."""
     last = money("value", 28)
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.col("event_type").alias("pair_id"),
         last.alias("last_price"),
         (last * F.lit("0.9995").cast("decimal(5,4)")).cast("decimal(28,8)").alias("buy_price"),
@@ -57,7 +61,11 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
+    return user_events_from(table(spark, sf_dir, "events"))
+
+
+def user_events_from(events: DataFrame) -> DataFrame:
+    return events.select(
         "event_id",
         _mapped("event_type", EVENT_TYPES).alias("event_type"),
         "user_id",

@@ -43,7 +43,7 @@ def run_available(stream: DataFrame, checkpoint: str,
 
 def _store_batch(batch: DataFrame, batch_id: int, path: str, at: str) -> list:
     """Write one batch by date; a repeated batch replaces its own partitions only."""
-    dated = batch.withColumns({"date": as_date(at), "batch": F.lit(batch_id)})
+    dated = batch.withColumns({"date": as_date(at), "batch": F.lit(batch_id).cast("bigint")})
     (
         dated.hint("rebalance", "date").write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy("date", "batch").parquet(path)
@@ -53,7 +53,7 @@ def _store_batch(batch: DataFrame, batch_id: int, path: str, at: str) -> list:
 
 
 def _rows_on(spark: SparkSession, path: str, schema: StructType, dates: list) -> DataFrame:
-    full = StructType(schema.fields).add("date", "date").add("batch", "int")
+    full = StructType(schema.fields).add("date", "date").add("batch", "long")
     return spark.read.schema(full).parquet(path).where(on_dates("date", dates)).drop("date", "batch")
 
 
