@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from marketloom.operators.upsert import upsert
 from marketloom.plans import daily, marts, staging
 from marketloom.quality import rules, suites
+from marketloom.session import materialize
 from marketloom.sinks.tables import route_schema
 
 
@@ -50,6 +51,9 @@ def run_daily(spark: SparkSession, bronze: Mapping[str, DataFrame], root: str,
     stamp = F.lit(at).cast("timestamp")
     staged = stage_all(bronze, at)
     models = intermediate(staged)
+    # The aggregates are small and used by checks and marts: compute them once.
+    for name in ("daily_market", "daily_trading", "user_events_daily", "user_trading_activity"):
+        models[name] = materialize(models[name], name)
     if check:
         rules.require(rules.run_rules({**staged, **models}, suites.model_rules()))
         _require_empty(singular_checks(staged, models))

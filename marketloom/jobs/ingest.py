@@ -66,14 +66,13 @@ def extract_one(dataset: Dataset, read: Reader, root: str, mark: datetime | None
                               watermark_before=mark)
     try:
         batch = dataset.slice(read(dataset.name), mark, strict)
-        if dataset.is_document:
-            documents.require_envelope(batch)
         if batch.isEmpty():
             record.finish("success", 0, mark)
             return Extracted(None, None, record)
         seen = Observation()
         at = F.col(dataset.mark_column).cast("timestamp")
-        observed = batch.observe(seen, F.count(F.lit(1)).alias("n"),
+        checked = documents.enforce_envelope(batch) if dataset.is_document else batch
+        observed = checked.observe(seen, F.count(F.lit(1)).alias("n"),
                                  F.max(F.unix_micros(at)).alias("mark"))
         path = write_bronze(observed, root, dataset.name, ctx, dataset.bronze_source)
         new_mark = _from_micros(seen.get["mark"])

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from marketloom.plans.snapshot import build_market_metrics, build_market_snapshot
 from marketloom.plans.star import StarLoad, load_market_snapshot
 from marketloom.quality.suites import validate_market_metrics, validate_market_snapshot
+from marketloom.session import materialize
 from marketloom.sinks.lake import write_gold, write_silver
 from marketloom.sinks.tables import TableStore
 from marketloom.sources.landing import check_payload
@@ -26,21 +26,18 @@ def run_snapshot(spark: SparkSession, pairs: DataFrame, summaries: DataFrame, la
                  store: TableStore, on_missing: str = "raise") -> SnapshotRun:
     """Build, check and publish the snapshots of the given payloads.
 
-    A layer is published only after its checks pass. Each frame is used by a
-    check, a write and the next step, so it is kept (spilling to disk) meanwhile;
-    a lost block is recomputed from the payload files.
+    A layer is published only after its checks pass. The frame is used by two
+    checks, two writes and the star load, so it is computed once into the shared
+    folder; the later steps read just the columns they need from there.
     """
     check_payload("pairs", pairs)
     check_payload("summaries", summaries)
-    gold = build_market_metrics(build_market_snapshot(pairs, summaries)).persist(StorageLevel.MEMORY_AND_DISK)
+    gold = materialize(build_market_metrics(build_market_snapshot(pairs, summaries)), "gold")
     silver = gold.drop("price_change_24h", "price_change_24h_pct", "price_change_7d",
                        "price_change_7d_pct", "spread", "spread_pct", "volume_rank")
-    try:
-        validate_market_snapshot(silver)
-        silver_path = write_silver(silver, f"{lake_root}/silver")
-        validate_market_metrics(gold)
-        gold_path = write_gold(gold, f"{lake_root}/gold")
-        star = load_market_snapshot(spark, gold, store, on_missing)
-    finally:
-        gold.unpersist()
+    validate_market_snapshot(silver)
+    silver_path = write_silver(silver, f"{lake_root}/silver")
+    validate_market_metrics(gold)
+    gold_path = write_gold(gold, f"{lake_root}/gold")
+    star = load_market_snapshot(spark, gold, store, on_missing)
     return SnapshotRun(silver_path, gold_path, star)

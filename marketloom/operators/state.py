@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from marketloom import schemas
 from marketloom.functions import utc
+from marketloom.storage import children, exists
 
 
 class MarkStore:
@@ -24,13 +25,9 @@ class MarkStore:
         self.spark, self.root = spark, root.rstrip("/")
 
     def _versions(self) -> list[int]:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        if not fs.exists(path):
-            return []
-        names = [s.getPath() for s in fs.listStatus(path)]
-        done = [p for p in names if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-        return sorted(int(p.getName().split("=")[1]) for p in done if p.getName().startswith("version="))
+        names = [n for n in children(self.spark, self.root) if n.startswith("version=")]
+        committed = [n for n in names if exists(self.spark, f"{self.root}/{n}/_SUCCESS")]
+        return sorted(int(n.split("=")[1]) for n in committed)
 
     def table(self) -> DataFrame:
         versions = self._versions()

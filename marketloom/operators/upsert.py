@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marketloom.operators.dedup import absent_from
+from marketloom.session import materialize
 from marketloom.sinks.lake import write_by_date
+from marketloom.storage import NULL_PARTITION, children, exists
 
 
 def merge_rows(existing: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -21,28 +25,34 @@ def merge_rows(existing: DataFrame, updates: DataFrame, keys: Sequence[str]) ->
     return updates.unionByName(kept.select(*updates.columns))
 
 
-def on_dates(column: str, dates: list) -> Column:
-    """Literal date filter, so it prunes partitions; None stands for the null date."""
-    known = [d for d in dates if d is not None]
-    condition = F.col(column).isin(known) if known else F.lit(False)
-    return condition | F.col(column).isNull() if None in dates else condition
+def read_dates(spark: SparkSession, path: str, schema: StructType, dates: Sequence[date | None],
+               date_column: str = "date") -> DataFrame | None:
+    """Rows of the given dates; None where the table holds none of them.
+
+    Only those partitions are listed and read, however many the table has.
+    """
+    names = [f"{date_column}={NULL_PARTITION if d is None else d.isoformat()}" for d in dates]
+    paths = [p for p in (f"{path}/{n}" for n in names) if exists(spark, p)]
+    if not paths:
+        return None
+    return spark.read.schema(schema).option("basePath", path).parquet(*paths)
 
 
 def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str],
-           date_column: str = "date") -> list:
+           date_column: str = "date") -> list[date | None]:
     """Merge ``updates`` into the table at ``path``; returns the touched dates.
 
     ``keys`` include the date, so only partitions of touched dates are read and
-    rewritten; their list has one entry per calendar day. All partitions are
-    committed by one job. A first load has nothing to merge with.
+    rewritten; their list has one entry per calendar day. The updates, which
+    are usually the result of a long aggregation, are computed once. All
+    partitions are committed by one job.
     """
+    updates = materialize(updates, "upsert")
     touched = [r[0] for r in updates.select(date_column).distinct().collect()]
     if not touched:
         return []
-    rows = updates
-    if _has_files(spark, path):
-        existing = spark.read.schema(updates.schema).parquet(path).where(on_dates(date_column, touched))
-        rows = merge_rows(existing, updates, keys)
+    existing = read_dates(spark, path, updates.schema, touched, date_column)
+    rows = updates if existing is None else merge_rows(existing, updates, keys)
     write_by_date(rows, path, date_column)
     return touched
 
@@ -52,17 +62,10 @@ def newer_than_target(spark: SparkSession, source: DataFrame, path: str, at: str
     """Source rows from the target's last date on.
 
     The last date itself is included: it may have been loaded while incomplete,
-    and the upsert makes repeating it harmless.
+    and the upsert makes repeating it harmless. The date comes from the names
+    of the target's partitions, so no data of it is read.
     """
-    if not _has_files(spark, path):
-        return source
-    last = spark.read.parquet(path).agg(F.max(date_column)).first()[0]
-    return source if last is None else source.where(F.col(at) >= F.lit(last).cast("timestamp"))
-
-
-def _has_files(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    return bool(fs.exists(hadoop)) and any(
-        not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(hadoop)
-    )
+    prefix = f"{date_column}="
+    days = [n[len(prefix):] for n in children(spark, path) if n.startswith(prefix)]
+    days = [d for d in days if d != NULL_PARTITION]
+    return source.where(F.col(at) >= F.lit(max(days)).cast("timestamp")) if days else source

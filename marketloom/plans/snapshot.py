@@ -130,20 +130,27 @@ def tabular_pairs(payload: DataFrame, path: Column | str = "source_file") -> Dat
 def tabular_summaries(summaries: DataFrame, pairs: DataFrame,
                       path: Column | str = "source_file") -> DataFrame:
     """One row per ticker; a ticker without a listed pair keeps its own key."""
+    per_run = "run_id" in pairs.columns and "run_id" in summaries.columns
+    keys = ["run_id"] if per_run else []
     quotes = summaries.select(
-        file_stem(path).alias("run_id"), F.explode("tickers").alias("_key", "t")
+        file_stem(path).alias("_stem"), *keys, F.explode("tickers").alias("_key", "t")
+    )
+    # A ticker listed twice goes to the pair listed last, if positions are known.
+    last = F.max_by("id", "position") if "position" in pairs.columns else F.max("id")
+    listed = (
+        pairs.where(F.col("ticker_id").isNotNull())
+        .groupBy(F.col("ticker_id").alias("_key"), *keys).agg(last.alias("_pair"))
     )
-    listed = pairs.groupBy(F.col("ticker_id").alias("_ticker")).agg(F.max("id").alias("_pair"))
 
     def field(name: str) -> Column:
         return F.try_element_at("t", F.lit(name))
 
-    return quotes.join(listed, F.col("_key") == F.col("_ticker"), "left").select(
+    return quotes.join(listed, ["_key", *keys], "left").select(
         F.coalesce("_pair", "_key").alias("pair"),
         field("last").alias("last"), field("buy").alias("buy"), field("sell").alias("sell"),
         field("high").alias("high"), field("low").alias("low"),
         dynamic_volume("t").alias("vol_coin"),
         field("vol_idr").alias("vol_idr"),
         epoch_to_timestamp_strict(field("server_time")).alias("created_at"),
-        "run_id",
+        F.col("_stem").alias("run_id"),
     )

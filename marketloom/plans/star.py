@@ -29,14 +29,13 @@ def new_markets(gold: DataFrame, dim_market: DataFrame) -> DataFrame:
         .where(F.col("pair_id").isNotNull()),
         dim_market, ["pair_id"],
     )
+    highest = dim_market.agg(F.coalesce(F.max("market_key"), F.lit(0))).first()[0]
     markets = keep_first(fresh, ["pair_id"], ["captured_at", "ticker_id", "asset_name"])
     numbered = with_row_index(
         markets.select("pair_id", "ticker_id", "asset_name"), ["pair_id"], "_n"
     )
-    highest = dim_market.agg(F.coalesce(F.max("market_key"), F.lit(0)).alias("_base"))
-    # One row by construction: the product adds a column, not rows.
-    return numbered.crossJoin(F.broadcast(highest)).select(
-        (F.col("_base") + F.col("_n")).cast("bigint").alias("market_key"),
+    return numbered.select(
+        (F.lit(highest) + F.col("_n")).cast("bigint").alias("market_key"),
         "pair_id", "ticker_id", "asset_name",
     )
 
@@ -98,7 +97,7 @@ def load_market_snapshot(spark: SparkSession, gold: DataFrame, store: TableStore
                          on_missing: str = "drop") -> StarLoad:
     """Load dim_market, dim_date and the fact, in that order.
 
-    Every step inserts only what is absent, so a load that died half-way is
+    ``gold`` is read several times, so pass a stored or kept frame. Every step inserts only what is absent, so a load that died half-way is
     completed by running it again.
     """
     store.create_star()

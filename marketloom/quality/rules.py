@@ -75,25 +75,22 @@ def summary(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     All row rules share one scan. A uniqueness rule is folded into the same
     scan by counting rows per key first; that grouping is partially aggregated
     before the exchange, so a key repeated millions of times stays small.
-    Duplicates are the rows beyond the first of each key.
+    Duplicates are the rows beyond the first of each key. At most one rule may
+    be a uniqueness rule; ``long_summary`` takes any number.
     """
     row_rules = [r for r in rules if isinstance(r, RowRule)]
     unique_rules = [r for r in rules if isinstance(r, UniqueRule)]
     counts = [F.count_if(r.condition()).alias(r.name) for r in row_rules]
     if not unique_rules:
         return df.agg(*counts)
-
-    first, *others = unique_rules
-    per_key = df.groupBy(*first.keys).agg(F.count(F.lit(1)).alias("_n"), *counts)
-    out = per_key.agg(
-        _beyond_first(first, "_n").alias(first.name),
+    if len(unique_rules) > 1:
+        raise ValueError("summary() folds one uniqueness rule; use long_summary()")
+    rule = unique_rules[0]
+    per_key = df.groupBy(*rule.keys).agg(F.count(F.lit(1)).alias("_n"), *counts)
+    return per_key.agg(
+        _beyond_first(rule, "_n").alias(rule.name),
         *[F.coalesce(F.sum(r.name), F.lit(0)).alias(r.name) for r in row_rules],
-    )
-    for rule in others:
-        keyed = df.groupBy(*rule.keys).agg(F.count(F.lit(1)).alias("_n"))
-        # One row on each side.
-        out = out.crossJoin(keyed.agg(_beyond_first(rule, "_n").alias(rule.name)))
-    return out.select(*[r.name for r in rules])
+    ).select(*[r.name for r in rules])
 
 
 def _beyond_first(rule: UniqueRule, n: str) -> Column:
@@ -107,23 +104,34 @@ def _beyond_first(rule: UniqueRule, n: str) -> Column:
 
 
 def long_summary(model: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """``summary`` turned into one row per rule."""
-    pairs = F.array(*[
+    """One row per rule: the first uniqueness rule rides along with the row
+    rules, each further one is a grouping of its own."""
+    unique_rules = [r for r in rules if isinstance(r, UniqueRule)]
+    folded = [r for r in rules if r not in unique_rules[1:]]
+    parts = [_unpivot(model, df, folded)] + [_unpivot(model, df, [r]) for r in unique_rules[1:]]
+    return _stack(parts)
+
+
+def _unpivot(model: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    rows = F.array(*[
         F.struct(F.lit(r.name).alias("rule"), F.col(r.name).cast("bigint").alias("violations"))
         for r in rules
     ])
-    return summary(df, rules).select(F.lit(model).alias("model"), F.inline(pairs))
+    return summary(df, rules).select(F.lit(model).alias("model"), F.inline(rows))
 
 
-def run_rules(models: Mapping[str, DataFrame], rules: Mapping[str, Sequence[Rule]]) -> DataFrame:
-    """Violations per model and rule, for all models that have rules."""
-    parts = [long_summary(m, df, rules[m]) for m, df in models.items() if rules.get(m)]
+def _stack(parts: Sequence[DataFrame]) -> DataFrame:
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
 
 
+def run_rules(models: Mapping[str, DataFrame], rules: Mapping[str, Sequence[Rule]]) -> DataFrame:
+    """Violations per model and rule, for all models that have rules."""
+    return _stack([long_summary(m, df, rules[m]) for m, df in models.items() if rules.get(m)])
+
+
 def require(results: DataFrame, show: int = 1000) -> None:
     """Raise one error listing every failed rule of a ``run_rules`` result."""
     failed = results.where("violations > 0").orderBy("model", "rule").limit(show).collect()

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marketloom.storage import delete
+
 # Runtime settings the plans in this package are written for. A value the
 # caller has set explicitly always wins, except the time zone: every date in
 # the data model is a UTC date.
@@ -77,3 +79,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = work_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release_work(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder.
+
+    Call it when no DataFrame built on materialized steps is needed any more.
+    """
+    delete(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")

@@ -65,11 +65,19 @@ def json_ready(df: DataFrame) -> DataFrame:
 
 
 def write_bronze(df: DataFrame, root: str, dataset: str, ctx: RunContext,
-                 source: str | None = API_SOURCE, max_records_per_file: int = 5_000_000) -> str:
-    """Write one run; the commit protocol makes it visible all at once."""
+                 source: str | None = API_SOURCE, max_records_per_file: int = 5_000_000,
+                 compact: bool = False) -> str:
+    """Write one run; the commit protocol makes it visible all at once.
+
+    Rows go straight from the source's partitions to files. ``compact`` adds an
+    exchange that evens out file sizes, for small slices of large sources.
+    """
     path = bronze_path(root, source, dataset, ctx)
+    rows = json_ready(df)
+    if compact:
+        rows = rows.hint("rebalance")
     (
-        json_ready(df).hint("rebalance").write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .option("maxRecordsPerFile", max_records_per_file)
         .option("ignoreNullFields", False).json(path)

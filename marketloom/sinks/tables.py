@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom import schemas
 from marketloom.functions import cast_to
+from marketloom.storage import exists, make_dirs
 
 
 def route_schema(custom: str | None, default: str) -> str:
@@ -30,14 +31,8 @@ class TableStore:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def _hadoop(self, table: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
-        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
-        return path.getFileSystem(conf), path
-
     def exists(self, table: str) -> bool:
-        fs, path = self._hadoop(table)
-        return fs.exists(path)
+        return exists(self.spark, self.path(table))
 
     def read(self, table: str, ddl: str | None = None) -> DataFrame:
         reader = self.spark.read
@@ -46,8 +41,7 @@ class TableStore:
 
     def create(self, table: str) -> None:
         """Create an empty table unless it is there; reads declare its schema."""
-        fs, path = self._hadoop(table)
-        fs.mkdirs(path)
+        make_dirs(self.spark, self.path(table))
 
     def create_star(self) -> None:
         for table in schemas.STAR:
@@ -60,8 +54,6 @@ class TableStore:
 
     def append(self, df: DataFrame, table: str, partition_by: str | None = None) -> int:
         """Append and return the number of rows, counted while writing."""
-        from pyspark.sql import Observation
-
         ddl = schemas.STAR.get(table)
         out = conform(df, ddl) if ddl else df
         rows = Observation()

@@ -84,6 +84,18 @@ def require_envelope(df: DataFrame) -> None:
         raise EnvelopeError(f"Document missing required fields: {set(bad[0].m)}")
 
 
+def enforce_envelope(df: DataFrame) -> DataFrame:
+    """Same rows, but reading a broken document fails the job that does it.
+
+    The check rides on the write instead of needing a pass of its own.
+    """
+    missing = missing_fields(ENVELOPE)
+    message = F.concat(F.lit("Document missing required fields: "), F.array_join(missing, ", "))
+    return df.withColumn(
+        "_id", F.when(F.size(missing) == 0, F.col("_id")).otherwise(F.raise_error(message).cast("string"))
+    )
+
+
 @dataclass(frozen=True)
 class DocumentRule:
     name: str

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from marketloom import schemas
 from marketloom.functions import file_captured_at, file_stem
+from marketloom.storage import exists
 
 API_SOURCE = "exchange"
 
@@ -22,11 +23,6 @@ def dataset_root(root: str, source: str, dataset: str) -> str:
     return f"{root.rstrip('/')}/source={source}/dataset={dataset}"
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), hadoop
-
-
 def list_runs(spark: SparkSession, path: str) -> DataFrame:
     """Files of a dataset with their run name and modification time.
 
@@ -47,8 +43,7 @@ def latest_run(spark: SparkSession, roots: Sequence[str], by: str = "path") -> s
     Of several roots the first holding any run decides.
     """
     for root in roots:
-        fs, path = _hadoop_path(spark, root)
-        if not fs.exists(path):
+        if not exists(spark, root):
             continue
         order = F.col("path") if by == "path" else F.struct("modificationTime", "path")
         newest = list_runs(spark, root).agg(F.max_by("path", order)).first()[0]
@@ -69,11 +64,13 @@ def read_payload(spark: SparkSession, dataset: str, path: str) -> DataFrame:
     """Raw payload rows of one run or of all runs below ``path``.
 
     A pairs file is an array, giving one row per pair; a summaries file is one
-    object, giving one row. ``run_id`` and ``captured_at`` come from the name.
+    object, giving one row. ``run_id`` and ``captured_at`` come from the name;
+    ``position`` keeps the order within a file.
     """
     ddl = {"pairs": schemas.PAIRS_PAYLOAD, "summaries": schemas.SUMMARIES_PAYLOAD}[dataset]
     stem = file_stem("source_file")
     return _read(spark, path, ddl).withColumns({
+        "position": F.monotonically_increasing_id(),
         "run_id": F.regexp_extract(stem, r"([^_]+)$", 1),
         "captured_at": file_captured_at("source_file"),
     })

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from marketloom.functions import as_date
-from marketloom.operators.upsert import on_dates, upsert
+from marketloom.operators.upsert import read_dates, upsert
 from marketloom.plans import daily, marts
 
 Staging = Callable[[DataFrame], DataFrame]
@@ -54,7 +54,7 @@ def _store_batch(batch: DataFrame, batch_id: int, path: str, at: str) -> list:
 
 def _rows_on(spark: SparkSession, path: str, schema: StructType, dates: list) -> DataFrame:
     full = StructType(schema.fields).add("date", "date").add("batch", "long")
-    return spark.read.schema(full).parquet(path).where(on_dates("date", dates)).drop("date", "batch")
+    return read_dates(spark, path, full, dates).drop("date", "batch")
 
 
 def stream_daily_market(spark: SparkSession, stream: DataFrame, root: str, stage: Staging,
