@@ -15,6 +15,7 @@ from marketloom.context import RunContext
 from marketloom.operators.state import MarkStore
 from marketloom.sinks.bronze import write_bronze
 from marketloom.sources import documents, tables
+from marketloom.storage import observed
 
 Reader = Callable[[str], DataFrame]
 
@@ -72,11 +73,12 @@ def extract_one(dataset: Dataset, read: Reader, root: str, mark: datetime | None
         seen = Observation()
         at = F.col(dataset.mark_column).cast("timestamp")
         checked = documents.enforce_envelope(batch) if dataset.is_document else batch
-        observed = checked.observe(seen, F.count(F.lit(1)).alias("n"),
-                                 F.max(F.unix_micros(at)).alias("mark"))
-        path = write_bronze(observed, root, dataset.name, ctx, dataset.bronze_source)
-        new_mark = _from_micros(seen.get["mark"])
-        record.finish("success", seen.get["n"], new_mark)
+        counted = checked.observe(seen, F.count(F.lit(1)).alias("n"),
+                                  F.max(F.unix_micros(at)).alias("mark"))
+        path = write_bronze(counted, root, dataset.name, ctx, dataset.bronze_source)
+        metrics = observed(seen)
+        new_mark = _from_micros(metrics.get("mark"))
+        record.finish("success", metrics.get("n", 0), new_mark)
         return Extracted(path, new_mark, record)
     except Exception as exc:
         record.finish("failed", error=str(exc))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marketloom import schemas
 from marketloom.functions import cast_to
-from marketloom.storage import exists, make_dirs
+from marketloom.storage import exists, make_dirs, observed
 
 
 def route_schema(custom: str | None, default: str) -> str:
@@ -64,7 +64,7 @@ class TableStore:
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(self.path(table))
-        return rows.get["n"]
+        return observed(rows).get("n", 0)
 
 
 def save_table(df: DataFrame, name: str, ddl: str | None = None, mode: str = "overwrite") -> None:

@@ -48,7 +48,8 @@ def latest_run(spark: SparkSession, roots: Sequence[str], by: str = "path") -> s
         order = F.col("path") if by == "path" else F.struct("modificationTime", "path")
         newest = list_runs(spark, root).agg(F.max_by("path", order)).first()[0]
         if newest is not None:
-            return newest if newest.endswith(".json") else newest.rsplit("/", 1)[0]
+            folder = newest.rsplit("/", 1)[0]
+            return folder if folder.endswith(".json") else newest
     raise NoRunsError(f"no landing files below {list(roots)}")
 
 
@@ -56,6 +57,7 @@ def _read(spark: SparkSession, path: str, ddl: str | StructType) -> DataFrame:
     """JSON documents (one array or object per file, or JSON lines) with their file."""
     return (
         spark.read.schema(ddl).option("multiLine", True).option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.json")
         .json(path).withColumn("source_file", F.col("_metadata.file_path"))
     )
 

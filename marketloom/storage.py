@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Observation, SparkSession
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -35,3 +36,15 @@ def children(spark: SparkSession, path: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = hadoop_path(spark, path)
     fs.delete(target, True)
+
+
+def observed(observation: Observation) -> dict:
+    """Metrics of a finished write; empty where no row was written.
+
+    A plan found empty at run time loses its metrics node, and reading the
+    metrics then fails.
+    """
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {}
