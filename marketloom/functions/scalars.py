@@ -12,9 +12,9 @@ ColumnLike = Column | str
 # The epoch seconds of 0001-01-01T00:00:00Z and 9999-12-31T23:59:59Z.
 EPOCH_MIN, EPOCH_MAX = -62135596800, 253402300799
 
-# Literals the JVM parser takes for numbers although they are plain text:
-# hexadecimal floats and a trailing d/f type suffix.
-_JVM_ONLY_NUMBER = r"(?i)^\s*[+-]?0x|[0-9.][df]\s*$"
+# Literals the JVM parser accepts that are no numbers here: NaN, hexadecimal
+# floats and a trailing d/f type suffix.
+_NOT_A_NUMBER = r"(?i)^\s*[+-]?(?:0x|nan)|[0-9.][df]\s*$"
 
 
 def col(c: ColumnLike) -> Column:
@@ -31,7 +31,7 @@ def nan_to_null(c: ColumnLike) -> Column:
 def to_double(c: ColumnLike) -> Column:
     """Text to double; anything that is not a number becomes NULL."""
     text = col(c).cast("string")
-    return nan_to_null(F.when(~text.rlike(_JVM_ONLY_NUMBER), text.try_cast("double")))
+    return F.when(~text.rlike(_NOT_A_NUMBER), text.try_cast("double"))
 
 
 def epoch_to_timestamp(c: ColumnLike) -> Column:

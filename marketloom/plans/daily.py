@@ -107,16 +107,20 @@ def orders_trades(orders: DataFrame, trades: DataFrame) -> DataFrame:
     return matched.unionByName(unmatched.unionByName(keyless), allowMissingColumns=True)
 
 
-def daily_trading(orders: DataFrame, trades: DataFrame, dedup: bool = False) -> DataFrame:
+def daily_trading(orders: DataFrame, trades: DataFrame, dedup: bool = False,
+                  unique_orders: bool = False) -> DataFrame:
     """Orders, completed orders and volumes per update date and symbol.
 
     An order with n trades counts its quantity n times in the buy and sell
     volumes, as the order-trade join fans it out; ``dedup=True`` counts it once.
 
     The fan-out itself is never built. Trades are reduced to one row per order
-    on the way into the exchange, which disarms an order with very many
-    trades; the join and the per-order step that makes the distinct counts
-    plain counts both use that same partitioning on ``order_id``.
+    on the way into the exchange, which disarms an order with very many trades,
+    and the join reuses that partitioning. Orders are reduced to one row per
+    order, date and symbol first, so distinct counts become plain counts and an
+    id (or a missing id) shared by very many order rows stays small as well.
+    ``unique_orders=True`` states that ids were checked to be unique and saves
+    that step's exchange.
     """
     per_order = (
         trades.groupBy(F.col("order_id").alias("_order_id"))
@@ -126,34 +130,34 @@ def daily_trading(orders: DataFrame, trades: DataFrame, dedup: bool = False) ->
             F.sum("quantity").alias("_traded"),
         )
     )
-    copies = F.lit(1) if dedup else F.coalesce(F.col("_trades"), F.lit(1))
 
     def side(order_type: str) -> Column:
-        return F.when(F.col("order_type") == order_type, F.col("quantity") * copies).otherwise(F.lit(0))
+        return F.when(F.col("order_type") == order_type, F.col("quantity")).otherwise(F.lit(0))
+
+    filled = F.when(F.col("status") == "filled", F.lit(1)).otherwise(F.lit(0))
+    placed = orders.select(
+        "order_id", as_date("updated_at").alias("date"), F.col("pair").alias("symbol"),
+        filled.alias("_filled"), side("buy").alias("_buy"), side("sell").alias("_sell"),
+        F.lit(1).cast("bigint").alias("_rows"),
+    ).where(F.col("date").isNotNull())
+    if not unique_orders:
+        placed = placed.groupBy("order_id", "date", "symbol").agg(
+            F.max("_filled").alias("_filled"), F.sum("_buy").alias("_buy"),
+            F.sum("_sell").alias("_sell"), F.sum("_rows").alias("_rows"),
+        )
 
-    joined = (
-        orders.select("order_id", F.col("pair").alias("symbol"), "order_type", "quantity", "status",
-                      as_date("updated_at").alias("date"))
-        .where(F.col("date").isNotNull())
-        .join(per_order, F.col("order_id") == F.col("_order_id"), "left")
-    )
-    one_per_order = joined.groupBy("order_id", "date", "symbol").agg(
-        F.max(F.when(F.col("status") == "filled", F.lit(1)).otherwise(F.lit(0))).alias("_filled"),
-        F.sum(side("buy")).alias("_buy"),
-        F.sum(side("sell")).alias("_sell"),
-        F.sum("_traded").alias("_traded"),
-        F.sum("_sized").alias("_sized"),
-    )
+    copies = F.lit(1) if dedup else F.coalesce(F.col("_trades"), F.lit(1))
     has_id = F.col("order_id").isNotNull()
     return (
-        one_per_order.groupBy("date", "symbol")
+        placed.join(per_order, F.col("order_id") == F.col("_order_id"), "left")
+        .groupBy("date", "symbol")
         .agg(
             F.count("order_id").alias("total_orders"),
             F.count_if(has_id & (F.col("_filled") == 1)).alias("completed_orders"),
-            F.sum("_buy").alias("buy_volume"),
-            F.sum("_sell").alias("sell_volume"),
-            F.sum("_traded").alias("trading_volume"),
-            F.sum("_sized").alias("_sized"),
+            F.sum(F.col("_buy") * copies).alias("buy_volume"),
+            F.sum(F.col("_sell") * copies).alias("sell_volume"),
+            F.sum(F.col("_traded") * F.col("_rows")).alias("trading_volume"),
+            F.sum(F.col("_sized") * F.col("_rows")).alias("_sized"),
         )
         .select(
             "date", "symbol", "total_orders", "completed_orders", "buy_volume", "sell_volume",

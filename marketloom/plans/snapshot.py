@@ -62,19 +62,27 @@ def build_market_snapshot(pairs: DataFrame, summaries: DataFrame) -> DataFrame:
     def field(name: str) -> Column:
         return F.try_element_at("t", F.lit(name))
 
-    return rows.select(
-        "pair_id", "ticker_id",
+    # Map lookups first, parsing second: each lookup is then done once although
+    # the parsers mention their argument several times.
+    texts = rows.select(
+        "pair_id", "ticker_id", "captured_at", "source_file", "run_id",
         field("name").alias("asset_name"),
-        to_double(field("buy")).alias("buy_price"),
-        to_double(field("sell")).alias("sell_price"),
-        to_double(field("high")).alias("high_price"),
-        to_double(field("low")).alias("low_price"),
-        to_double(field("last")).alias("last_price"),
-        to_double("p.day").alias("price_24h_ago"),
-        to_double("p.week").alias("price_7d_ago"),
-        to_double(dynamic_volume("t")).alias("volume_asset"),
-        to_double(field("vol_idr")).alias("volume_idr"),
-        epoch_to_timestamp(field("server_time")).alias("source_timestamp"),
+        *[field(f).alias(f) for f in ("buy", "sell", "high", "low", "last", "vol_idr", "server_time")],
+        dynamic_volume("t").alias("vol_asset"),
+        F.col("p.day").alias("day"), F.col("p.week").alias("week"),
+    )
+    return texts.select(
+        "pair_id", "ticker_id", "asset_name",
+        to_double("buy").alias("buy_price"),
+        to_double("sell").alias("sell_price"),
+        to_double("high").alias("high_price"),
+        to_double("low").alias("low_price"),
+        to_double("last").alias("last_price"),
+        to_double("day").alias("price_24h_ago"),
+        to_double("week").alias("price_7d_ago"),
+        to_double("vol_asset").alias("volume_asset"),
+        to_double("vol_idr").alias("volume_idr"),
+        epoch_to_timestamp("server_time").alias("source_timestamp"),
         "captured_at",
         ingestion_date("captured_at").alias("ingestion_date"),
         "source_file",

@@ -21,6 +21,9 @@ RUNTIME_SETTINGS = {
     # by a following aggregation; the extra exchange is added only on skew.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Where every shuffled partition of a join's build side turns out to be this
+    # small, join by hash without sorting either side; else sort-merge as before.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 
 _local_dirs: dict[str, str] = {}
