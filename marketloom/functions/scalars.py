@@ -28,6 +28,11 @@ def nan_to_null(c: ColumnLike) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+def int_or_null(c: ColumnLike) -> Column:
+    """Nullable integer out of a float column with missing values."""
+    return nan_to_null(c).cast("bigint")
+
+
 def to_double(c: ColumnLike) -> Column:
     """Text to double; anything that is not a number becomes NULL."""
     text = col(c).cast("string")

@@ -40,6 +40,11 @@ def mart_path(root: str, mart: str, schema: str | None = "marts") -> str:
     return f"{root.rstrip('/')}/{route_schema(schema, 'main')}/{mart}"
 
 
+def read_mart(spark: SparkSession, root: str, mart: str) -> DataFrame:
+    """All rows of a mart, for a downstream load."""
+    return spark.read.parquet(mart_path(root, mart))
+
+
 def run_daily(spark: SparkSession, bronze: Mapping[str, DataFrame], root: str,
               now: datetime | None = None, check: bool = True) -> dict[str, list]:
     """Build and upsert the four marts; returns the touched dates per mart.

@@ -33,9 +33,18 @@ def absent_from(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataF
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """Child rows without a parent; a null reference is an orphan too."""
-    present = parent.select(F.col(parent_key).alias("_parent")).distinct()
-    return child.join(present, F.col(child_key) == F.col("_parent"), "left_anti")
+    """Child rows without a parent; a null reference is an orphan too.
+
+    Both sides are reduced to distinct keys before they meet, so a parent with
+    very many children, or a key repeated among the parents, ships one row per
+    map task. Child rows are then looked up by the keys found missing, usually
+    none at all.
+    """
+    known = parent.select(F.col(parent_key).alias("_key")).where("_key is not null").distinct()
+    keys = child.select(F.col(child_key).alias("_key")).where("_key is not null").distinct()
+    missing = keys.join(known, "_key", "left_anti")
+    lost = child.join(missing, F.col(child_key) == F.col("_key"), "left_semi")
+    return lost.unionByName(child.where(F.col(child_key).isNull()))
 
 
 def latest_only(df: DataFrame, run: str) -> DataFrame:

@@ -53,10 +53,10 @@ def dense_rank_desc(df: DataFrame, within: Sequence[str], value: str, name: str)
     indexed = with_row_index(distinct_values, [*within, F.col(value).desc()], "_idx")
     firsts = indexed.groupBy(*within).agg(F.min("_idx").alias("_first"))
     ranks = (
-        _join_null_safe(indexed, firsts, within, "inner")
+        _join(indexed, firsts, within, "inner")
         .select(*keys, (F.col("_idx") - F.col("_first") + 1).cast("bigint").alias(name))
     )
-    return _join_null_safe(df, ranks, keys, "left")
+    return _join(df, ranks, within, "left", value)
 
 
 def dense_rank_in_run(value: str, run_key: str = "run_id") -> Column:
@@ -69,12 +69,15 @@ def dense_rank_in_run(value: str, run_key: str = "run_id") -> Column:
     return F.when(F.col(value).isNotNull(), F.dense_rank().over(w)).cast("bigint")
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+def _join(left: DataFrame, right: DataFrame, group: Sequence[str], how: str,
+          value: str | None = None) -> DataFrame:
+    """Equi-join on a group, null-safe, and a value that is never null on the right."""
+    keys = [*group, value] if value else list(group)
     renamed = right.select(
         *[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns]
     )
     condition = None
     for k in keys:
-        same = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+        same = F.col(k) == F.col(f"_r_{k}") if k == value else F.col(k).eqNullSafe(F.col(f"_r_{k}"))
         condition = same if condition is None else condition & same
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])

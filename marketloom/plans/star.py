@@ -21,19 +21,15 @@ class MissingMarketError(ValueError):
 def new_markets(gold: DataFrame, dim_market: DataFrame) -> DataFrame:
     """Markets not yet known, keyed from the current maximum upwards by pair id.
 
-    Known pairs are removed first, so in steady state hardly a row is left to
-    de-duplicate and number. Of several rows for a pair the earliest wins.
+    Of several rows for a pair the earliest wins; the choice is made below the
+    first exchange, so a pair holding most of the rows stays small.
     """
-    fresh = absent_from(
-        gold.select("pair_id", "ticker_id", "asset_name", "captured_at")
-        .where(F.col("pair_id").isNotNull()),
-        dim_market, ["pair_id"],
-    )
     highest = dim_market.agg(F.coalesce(F.max("market_key"), F.lit(0))).first()[0]
-    markets = keep_first(fresh, ["pair_id"], ["captured_at", "ticker_id", "asset_name"])
-    numbered = with_row_index(
-        markets.select("pair_id", "ticker_id", "asset_name"), ["pair_id"], "_n"
-    )
+    markets = keep_first(
+        gold.select("pair_id", "ticker_id", "asset_name", "captured_at").where("pair_id is not null"),
+        ["pair_id"], ["captured_at", "ticker_id", "asset_name"],
+    ).select("pair_id", "ticker_id", "asset_name")
+    numbered = with_row_index(absent_from(markets, dim_market, ["pair_id"]), ["pair_id"], "_n")
     return numbered.select(
         (F.lit(highest) + F.col("_n")).cast("bigint").alias("market_key"),
         "pair_id", "ticker_id", "asset_name",

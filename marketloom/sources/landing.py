@@ -122,3 +122,9 @@ def check_payload(dataset: str, df: DataFrame) -> None:
         message = "Expected an object with 'tickers'"
     if not broken.isEmpty() or df.isEmpty():
         raise ValueError(f"{dataset}: {message}")
+
+
+def count_records(pairs: DataFrame, summaries: DataFrame) -> int:
+    """Listed pairs plus tickers: the record count an API extraction reports."""
+    tickers = summaries.agg(F.coalesce(F.sum(F.greatest(F.size("tickers"), F.lit(0))), F.lit(0))).first()[0]
+    return pairs.count() + tickers

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from marketloom.functions import as_date
+from marketloom.functions import as_date, ingestion_date, ingestion_hour
 from marketloom.operators.upsert import read_dates, upsert
 from marketloom.plans import daily, marts
+from marketloom.sinks.bronze import json_ready
+from marketloom.sources.landing import dataset_root
 
 Staging = Callable[[DataFrame], DataFrame]
 
@@ -41,6 +43,30 @@ def run_available(stream: DataFrame, checkpoint: str,
     return query
 
 
+def stream_to_bronze(stream: DataFrame, root: str, source: str, dataset: str, checkpoint: str,
+                     ingested_at: str = "ingested_at") -> str:
+    """Land new rows as JSON by ingestion date, hour and batch.
+
+    The batch is part of the layout: repeating one after a failure replaces its
+    own files, so every row lands exactly once.
+    """
+    path = dataset_root(root, source, dataset)
+
+    def each_batch(batch: DataFrame, batch_id: int) -> None:
+        at = F.col(ingested_at).cast("timestamp")
+        (
+            json_ready(batch).withColumns({
+                "ingestion_date": ingestion_date(at), "hour": ingestion_hour(at), "batch": F.lit(batch_id),
+            })
+            .hint("rebalance", "ingestion_date", "hour").write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("ingestion_date", "hour", "batch").json(path)
+        )
+
+    run_available(stream, checkpoint, each_batch)
+    return path
+
+
 def _store_batch(batch: DataFrame, batch_id: int, path: str, at: str) -> list:
     """Write one batch by date; a repeated batch replaces its own partitions only."""
     dated = batch.withColumns({"date": as_date(at), "batch": F.lit(batch_id).cast("bigint")})

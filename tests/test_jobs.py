@@ -15,7 +15,7 @@ from marketloom.plans import daily, staging
 from marketloom.quality import rules, suites
 from marketloom.sinks.tables import TableStore
 from marketloom.sources import documents, landing
-from marketloom.streaming.incremental import read_landing, stream_daily_market
+from marketloom.streaming.incremental import read_landing, stream_daily_market, stream_to_bronze
 
 UTC = timezone.utc
 NOW = datetime(2026, 9, 12, tzinfo=UTC)
@@ -139,8 +139,9 @@ def test_snapshot_run_over_all_runs(spark, tmp_path):
     frames = [landing.read_payload(spark, d, landing.dataset_root(raw, "exchange", d)) for d in ("pairs", "summaries")]
     store = TableStore(spark, str(tmp_path / "star"))
     for expected in ((2, 2, 3), (0, 0, 0)):
-        done = run_snapshot(spark, *frames, str(tmp_path / "lake"), store)
+        done = run_snapshot(spark, *frames, str(tmp_path / "lake"), store, audit_path=str(tmp_path / "audit"))
         assert (done.star.markets, done.star.dates, done.star.facts) == expected
+    assert [r.rows_extracted for r in spark.read.parquet(str(tmp_path / "audit")).collect()] == [6, 6]
     gold = landing.read_snapshots(spark, f"{tmp_path}/lake/gold", "market_metrics", schemas.MARKET_METRICS)
     assert sorted((r.run_id, r.pair_id, r.volume_rank) for r in gold.collect()) == [
         ("20260101T010203Z", "btc", 2), ("20260101T010203Z", "eth", 1), ("20260102T010203Z", "btc", 1)]
@@ -197,3 +198,23 @@ def test_stream_equals_batch_with_late_rows_and_failure(spark, tmp_path):
     fail["on"] = False
     out = rows(go())
     assert out == batch() and any("open_price=9.0" in r for r in out)
+
+
+def test_stream_to_bronze_lands_rows_once(spark, gen, tmp_path):
+    landed, out, mark = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "mark")
+
+    def go():
+        stream = read_landing(spark, f"{landed}/*", schemas.struct(schemas.DOCUMENT))
+        return stream_to_bronze(stream, out, "mongodb", "user_events", mark)
+
+    docs = gen.user_events()
+    docs.where("event = 'login'").write.json(f"{landed}/a")
+    go()
+    go()
+    docs.where("event <> 'login'").write.json(f"{landed}/b")
+    path = go()
+    back = spark.read.schema(schemas.DOCUMENT).json(path)
+    assert sorted(map(str, back.select("_id", "ingested_at").collect())) == sorted(
+        map(str, docs.select("_id", "ingested_at").collect()))
+    # A batch delivered again replaces itself.
+    assert back.select("_id").distinct().count() == back.count() == 600
