@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from marketloom.operators.upsert import upsert
 from marketloom.plans import daily, marts, staging
 from marketloom.quality import rules, suites
-from marketloom.session import materialize
+from marketloom.session import fit_shuffle, materialize
 from marketloom.sinks.tables import route_schema
 
 
@@ -54,6 +55,7 @@ def run_daily(spark: SparkSession, bronze: Mapping[str, DataFrame], root: str,
     """
     at = now or datetime.now(timezone.utc)
     stamp = F.lit(at).cast("timestamp")
+    fit_shuffle(spark, *bronze.values())
     staged = stage_all(bronze, at)
     if check:
         rules.require(rules.run_rules(staged, suites.model_rules()))
@@ -72,8 +74,9 @@ def run_daily(spark: SparkSession, bronze: Mapping[str, DataFrame], root: str,
         "trading_daily": marts.trading_daily(models["daily_trading"], stamp),
         "user_activity_daily": marts.user_activity_daily(models["user_events_daily"], stamp),
     }
-    for mart, df in built.items():
-        touched[mart] = upsert(spark, mart_path(root, mart), df, marts.GRAIN[mart])
+    with ThreadPoolExecutor(max_workers=len(built)) as pool:
+        loads = {m: pool.submit(upsert, spark, mart_path(root, m), df, marts.GRAIN[m]) for m, df in built.items()}
+        touched.update({m: load.result() for m, load in loads.items()})
     stored = {m: spark.read.schema(df.schema).parquet(mart_path(root, m)) for m, df in built.items()}
     business = marts.business_metrics(stored["market_daily"], stored["trading_daily"],
                                       stored["user_activity_daily"], stamp)

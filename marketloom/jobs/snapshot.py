@@ -10,7 +10,7 @@ from marketloom.audit import ExtractionRecord, append_audit
 from marketloom.plans.snapshot import build_market_metrics, build_market_snapshot
 from marketloom.plans.star import StarLoad, load_market_snapshot
 from marketloom.quality.suites import validate_market_metrics, validate_market_snapshot
-from marketloom.session import materialize
+from marketloom.session import fit_shuffle, materialize
 from marketloom.sinks.lake import write_gold, write_silver
 from marketloom.sinks.tables import TableStore
 from marketloom.sources.landing import API_SOURCE, check_payload, count_records
@@ -43,6 +43,7 @@ def run_snapshot(spark: SparkSession, pairs: DataFrame, summaries: DataFrame, la
         record.log()
         if audit_path:
             append_audit(spark, audit_path, [record])
+    fit_shuffle(spark, summaries)
     gold = materialize(build_market_metrics(build_market_snapshot(pairs, summaries)), "gold")
     silver = gold.drop("price_change_24h", "price_change_24h_pct", "price_change_7d",
                        "price_change_7d_pct", "spread", "spread_pct", "volume_rank")

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from marketloom import schemas
 from marketloom.functions import utc
-from marketloom.storage import children, exists
+from marketloom.storage import children, delete, exists
+
+
+KEPT_VERSIONS = 20
 
 
 class MarkStore:
@@ -57,6 +60,8 @@ class MarkStore:
         versions = self._versions()
         version = versions[-1] + 1 if versions else 1
         kept.unionByName(rows).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/version={version}")
+        for old in versions[:-KEPT_VERSIONS]:
+            delete(self.spark, f"{self.root}/version={old}")
 
     def update(self, namespace: str, source: str, mark: datetime) -> None:
         self.commit({namespace: mark}, source)

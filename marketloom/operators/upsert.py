@@ -7,12 +7,11 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from marketloom.operators.dedup import absent_from
 from marketloom.session import materialize
 from marketloom.sinks.lake import write_by_date
-from marketloom.storage import NULL_PARTITION, children, exists
+from marketloom.storage import NULL_PARTITION, children, read_partitions
 
 
 def merge_rows(existing: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -25,19 +24,6 @@ def merge_rows(existing: DataFrame, updates: DataFrame, keys: Sequence[str]) ->
     return updates.unionByName(kept.select(*updates.columns))
 
 
-def read_dates(spark: SparkSession, path: str, schema: StructType, dates: Sequence[date | None],
-               date_column: str = "date") -> DataFrame | None:
-    """Rows of the given dates; None where the table holds none of them.
-
-    Only those partitions are listed and read, however many the table has.
-    """
-    names = [f"{date_column}={NULL_PARTITION if d is None else d.isoformat()}" for d in dates]
-    paths = [p for p in (f"{path}/{n}" for n in names) if exists(spark, p)]
-    if not paths:
-        return None
-    return spark.read.schema(schema).option("basePath", path).parquet(*paths)
-
-
 def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str],
            date_column: str = "date") -> list[date | None]:
     """Merge ``updates`` into the table at ``path``; returns the touched dates.
@@ -51,7 +37,7 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[st
     touched = [r[0] for r in updates.select(date_column).distinct().collect()]
     if not touched:
         return []
-    existing = read_dates(spark, path, updates.schema, touched, date_column)
+    existing = read_partitions(spark, path, updates.schema, date_column, touched)
     rows = updates if existing is None else merge_rows(existing, updates, keys)
     write_by_date(rows, path, date_column)
     return touched

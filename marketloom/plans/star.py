@@ -103,7 +103,7 @@ def load_market_snapshot(spark: SparkSession, gold: DataFrame, store: TableStore
 
     keys = touched_dates(gold.select(date_key("captured_at").alias("k")), "k")
     # Only the touched date partitions can hold the batch's keys.
-    fact = store.read("fact_market_snapshot").where(F.col("date_key").isin(keys))
+    fact = store.read_partitions("fact_market_snapshot", "date_key", keys)
     facts = store.append(
         new_facts(gold, store.read("dim_market"), fact, on_missing),
         "fact_market_snapshot", partition_by="date_key",

@@ -26,6 +26,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 
+# Beyond this the map-output bookkeeping costs more than larger partitions do.
+MAX_SHUFFLE_PARTITIONS = 50_000
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -49,6 +52,28 @@ def build_session(app_name: str = "marketloom", master: str | None = None, **con
     return configure(builder.getOrCreate())
 
 
+def _scanned_bytes(df: DataFrame) -> int:
+    """Size of the files a plan reads; sources of unknown size count as nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(s for s in sizes if s < 1 << 62)
+
+
+def fit_shuffle(spark: SparkSession, *inputs: DataFrame, target_mb: int = 128, growth: int = 3) -> int:
+    """Raise the shuffle partition count to suit the inputs' size on storage.
+
+    ``growth`` allows for compressed columnar files turning into larger shuffled
+    rows. The count is only ever raised: too many partitions are merged again at
+    run time, too few spill.
+    """
+    stored = sum(_scanned_bytes(df) for df in inputs)
+    needed = min(MAX_SHUFFLE_PARTITIONS, -(-stored * growth // (target_mb << 20)))
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if needed > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(needed))
+    return max(needed, current)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 

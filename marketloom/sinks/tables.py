@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marketloom import schemas
 from marketloom.functions import cast_to
-from marketloom.storage import exists, make_dirs, observed
+from marketloom.storage import exists, make_dirs, observed, read_partitions
 
 
 def route_schema(custom: str | None, default: str) -> str:
@@ -39,6 +39,12 @@ class TableStore:
         ddl = ddl or schemas.STAR.get(table)
         return (reader.schema(ddl) if ddl else reader).parquet(self.path(table))
 
+    def read_partitions(self, table: str, column: str, values: list) -> DataFrame:
+        """Rows of the given partitions of a table with a declared schema."""
+        schema = schemas.struct(schemas.STAR[table])
+        found = read_partitions(self.spark, self.path(table), schema, column, values)
+        return self.spark.createDataFrame([], schema) if found is None else found
+
     def create(self, table: str) -> None:
         """Create an empty table unless it is there; reads declare its schema."""
         make_dirs(self.spark, self.path(table))

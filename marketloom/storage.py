@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql.types import StructType
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -33,6 +36,19 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
+def read_partitions(spark: SparkSession, path: str, schema: StructType, column: str,
+                    values: Sequence) -> DataFrame | None:
+    """Rows of the named partitions; None where the table holds none of them.
+
+    Only those folders are listed and read, however many the table has.
+    """
+    names = [f"{column}={NULL_PARTITION if v is None else v}" for v in values]
+    paths = [p for p in (f"{path}/{n}" for n in names) if exists(spark, p)]
+    if not paths:
+        return None
+    return spark.read.schema(schema).option("basePath", path).parquet(*paths)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = hadoop_path(spark, path)
     fs.delete(target, True)

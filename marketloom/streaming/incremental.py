@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from marketloom.functions import as_date, ingestion_date, ingestion_hour
-from marketloom.operators.upsert import read_dates, upsert
+from marketloom.operators.upsert import upsert
 from marketloom.plans import daily, marts
 from marketloom.sinks.bronze import json_ready
 from marketloom.sources.landing import dataset_root
+from marketloom.storage import observed, read_partitions
 
 Staging = Callable[[DataFrame], DataFrame]
 
@@ -68,19 +69,25 @@ def stream_to_bronze(stream: DataFrame, root: str, source: str, dataset: str, ch
 
 
 def _store_batch(batch: DataFrame, batch_id: int, path: str, at: str) -> list:
-    """Write one batch by date; a repeated batch replaces its own partitions only."""
-    dated = batch.withColumns({"date": as_date(at), "batch": F.lit(batch_id).cast("bigint")})
+    """Write one batch by date and return its dates, noted while writing.
+
+    A repeated batch replaces its own partitions only.
+    """
+    seen = Observation()
+    dated = batch.withColumns({"date": as_date(at), "batch": F.lit(batch_id).cast("bigint")}).observe(
+        seen, F.collect_set("date").alias("dates"), F.count_if(F.col("date").isNull()).alias("undated")
+    )
     (
         dated.hint("rebalance", "date").write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy("date", "batch").parquet(path)
     )
-    written = batch.sparkSession.read.schema(dated.schema).parquet(path).where(F.col("batch") == batch_id)
-    return [r[0] for r in written.select("date").distinct().collect()]
+    metrics = observed(seen)
+    return list(metrics.get("dates", [])) + ([None] if metrics.get("undated") else [])
 
 
 def _rows_on(spark: SparkSession, path: str, schema: StructType, dates: list) -> DataFrame:
     full = StructType(schema.fields).add("date", "date").add("batch", "long")
-    return read_dates(spark, path, full, dates).drop("date", "batch")
+    return read_partitions(spark, path, full, "date", dates).drop("date", "batch")
 
 
 def stream_daily_market(spark: SparkSession, stream: DataFrame, root: str, stage: Staging,

@@ -408,3 +408,28 @@ def test_work_is_released(spark):
     assert df.count() == 3 and os.path.isdir(root)
     release_work(spark)
     assert not os.path.exists(root)
+
+
+def test_shuffle_is_only_ever_raised(spark, tmp_path):
+    from marketloom.session import fit_shuffle
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.range(200_000).select(F.md5(F.col("id").cast("string")).alias("x")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    try:
+        assert fit_shuffle(spark, df, df) == int(before)
+        # Neither a join's product estimate nor an unknown size counts.
+        unknown = spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "x int")
+        assert fit_shuffle(spark, df.join(df.withColumnRenamed("x", "y"), F.col("x") == F.col("y")), unknown) == int(before)
+        assert fit_shuffle(spark, df, target_mb=1) > int(before)
+        assert fit_shuffle(spark, df) == int(spark.conf.get("spark.sql.shuffle.partitions")) > int(before)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_old_mark_versions_are_dropped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("marketloom.operators.state.KEPT_VERSIONS", 2)
+    store = MarkStore(spark, str(tmp_path / "marks"))
+    for day in range(1, 6):
+        store.update("a", "s", datetime(2026, 1, day, tzinfo=UTC))
+    assert store.get("a").day == 5 and len(os.listdir(tmp_path / "marks")) <= 3
