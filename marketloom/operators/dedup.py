@@ -54,4 +54,4 @@ def latest_only(df: DataFrame, run: str) -> DataFrame:
     partitioned by ``run`` only that partition is read.
     """
     newest = df.agg(F.max(run)).first()[0]
-    return df.where(F.col(run) == F.lit(newest)) if newest is not None else df.limit(0)
+    return df.where(F.col(run) == F.lit(newest)) if newest is not None else df.where(F.lit(False))

@@ -146,6 +146,10 @@ def daily_trading(orders: DataFrame, trades: DataFrame, dedup: bool = False,
             F.sum("_sell").alias("_sell"), F.sum("_rows").alias("_rows"),
         )
 
+    def times(amount: str, count: Column) -> Column:
+        # 24 + 13 + 1 digits fit a decimal without giving up its 8 places.
+        return F.col(amount).cast("decimal(24,8)") * count.cast("decimal(13,0)")
+
     copies = F.lit(1) if dedup else F.coalesce(F.col("_trades"), F.lit(1))
     has_id = F.col("order_id").isNotNull()
     return (
@@ -154,9 +158,9 @@ def daily_trading(orders: DataFrame, trades: DataFrame, dedup: bool = False,
         .agg(
             F.count("order_id").alias("total_orders"),
             F.count_if(has_id & (F.col("_filled") == 1)).alias("completed_orders"),
-            F.sum(F.col("_buy") * copies).alias("buy_volume"),
-            F.sum(F.col("_sell") * copies).alias("sell_volume"),
-            F.sum(F.col("_traded") * F.col("_rows")).alias("trading_volume"),
+            F.sum(times("_buy", copies)).alias("buy_volume"),
+            F.sum(times("_sell", copies)).alias("sell_volume"),
+            F.sum(times("_traded", F.col("_rows"))).alias("trading_volume"),
             F.sum(F.col("_sized") * F.col("_rows")).alias("_sized"),
         )
         .select(

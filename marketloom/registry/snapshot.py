@@ -509,7 +509,8 @@ FROM facts ORDER BY captured_at DESC, market_key LIMIT 10"""))
 def star_topn(spark, sf_dir):
     """The ten newest facts with their market."""
     gold, dim, loaded = _star_by_type(spark, sf_dir)
-    facts = star.new_facts(gold, dim, loaded.limit(0))
+    nothing = spark.createDataFrame([], loaded.schema)
+    facts = star.new_facts(gold, dim, nothing)
     return star.latest_facts(facts, dim, 10)
 
 

@@ -107,6 +107,14 @@ def test_daily_trading_equals_the_join_on_odd_rows(spark):
     assert [tuple(r)[:7] for r in sorted(got.collect(), key=key)] == [tuple(r) for r in sorted(want.collect(), key=key)]
 
 
+@pytest.mark.parametrize("unique", [True, False])
+def test_daily_trading_keeps_eight_decimals(spark, unique):
+    orders = spark.createDataFrame([order("A", qty="0.12345678"), order("B", kind="sell", qty="5.00000001")], ORDER)
+    trades = spark.createDataFrame([trade(str(i), "A", "0.00000001") for i in range(3)], TRADE)
+    r = daily.daily_trading(orders, trades, unique_orders=unique).first()
+    assert (r.buy_volume, r.sell_volume, r.trading_volume) == (D("0.37037034"), D("5.00000001"), D("0.00000003"))
+
+
 def test_orders_trades_keeps_untraded_and_keyless_orders(spark):
     orders = spark.createDataFrame([order("A"), order("B"), order(None)], ORDER)
     trades = spark.createDataFrame([trade("1", "A", 2), trade("2", "A", 3), trade("3", "Z", 1), trade("4", None, 1)], TRADE)
