@@ -60,10 +60,10 @@ def dense_rank_desc(df: DataFrame, within: Sequence[str], value: str, name: str)
 
 
 def dense_rank_in_run(value: str, run_key: str = "run_id") -> Column:
-    """Dense rank inside one API snapshot.
+    """Dense rank inside groups of a known small size, as one window.
 
-    For frames whose groups are single API documents only: a document is read
-    by one task, so its rows always fit the one task a window group needs.
+    Meant for the rows of one API document, which one task has read anyway, or
+    the listed symbols of one date. ``dense_rank_desc`` is for all other groups.
     """
     w = Window.partitionBy(run_key).orderBy(F.col(value).desc_nulls_last())
     return F.when(F.col(value).isNotNull(), F.dense_rank().over(w)).cast("bigint")

@@ -30,8 +30,9 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[st
 
     ``keys`` include the date, so only partitions of touched dates are read and
     rewritten; their list has one entry per calendar day. The updates, which
-    are usually the result of a long aggregation, are computed once. All
-    partitions are committed by one job.
+    are usually the result of a long aggregation, are computed once; their keys
+    must be unique. All partitions are committed by one job, with rows sorted by
+    the remaining keys so that file statistics prune on them.
     """
     updates = materialize(updates, "upsert")
     touched = [r[0] for r in updates.select(date_column).distinct().collect()]
@@ -39,7 +40,8 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[st
         return []
     existing = read_partitions(spark, path, updates.schema, date_column, touched)
     rows = updates if existing is None else merge_rows(existing, updates, keys)
-    write_by_date(rows, path, date_column)
+    rest = [k for k in keys if k != date_column]
+    write_by_date(rows, path, date_column, order=rest)
     return touched
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from marketloom.functions import pct_change
+from marketloom.operators.ranking import dense_rank_desc, dense_rank_in_run
 
 GRAIN = {
     "market_daily": ["date", "symbol"],
@@ -101,19 +102,21 @@ def volatility(market: DataFrame, days: int = 7) -> DataFrame:
     )
 
 
-def volume_rank_daily(market: DataFrame) -> DataFrame:
+def volume_rank_daily(market: DataFrame, listed_symbols: bool = True) -> DataFrame:
     """Dense rank of the symbols by volume within each date, highest first.
 
-    A date's group holds one row per symbol, never raw ticks.
+    A date's group holds one row per symbol, never raw ticks: a few thousand
+    rows for an exchange's listing. With ``listed_symbols=False`` there may be
+    any number of symbols and the rank is taken over a distributed sort.
     """
-    w = Window.partitionBy("date").orderBy(F.col("volume_idr").desc_nulls_last())
-    return market.select(
+    totals = market.select(
         "date", "symbol",
         F.col("volume_asset").alias("total_volume_asset"),
         F.col("volume_idr").alias("total_volume_idr"),
-        F.when(F.col("volume_idr").isNotNull(), F.dense_rank().over(w)).cast("bigint")
-        .alias("volume_rank"),
     )
+    if not listed_symbols:
+        return dense_rank_desc(totals, ["date"], "total_volume_idr", "volume_rank")
+    return totals.withColumn("volume_rank", dense_rank_in_run("total_volume_idr", "date"))
 
 
 def volume_change(market: DataFrame) -> DataFrame:

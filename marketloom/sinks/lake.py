@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from marketloom.functions import ingestion_hour
@@ -33,14 +35,14 @@ def write_gold(df: DataFrame, root: str) -> str:
     return write_snapshot(df, root, GOLD)
 
 
-def write_by_date(df: DataFrame, path: str, column: str = "date", order: str | None = None) -> None:
+def write_by_date(df: DataFrame, path: str, column: str = "date", order: Sequence[str] = ()) -> None:
     """Date-partitioned table; a date too big for one task is split by the rebalance.
 
     Rows are sorted inside files by ``order`` so its min/max statistics prune.
     """
     out = df.hint("rebalance", column)
     if order:
-        out = out.sortWithinPartitions(column, order)
+        out = out.sortWithinPartitions(column, *order)
     (
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(column).parquet(path)
