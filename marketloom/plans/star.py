@@ -21,16 +21,15 @@ class MissingMarketError(ValueError):
 def new_markets(gold: DataFrame, dim_market: DataFrame) -> DataFrame:
     """Markets not yet known, keyed from the current maximum upwards by pair id.
 
-    Of several rows for a pair the earliest wins; the choice is made below the
-    first exchange, so a pair holding most of the rows stays small.
+    New ids are found among the distinct ones and numbered first; only rows of
+    new pairs are then looked at for the other columns, in steady state hardly
+    any. Of several rows for a pair the earliest wins.
     """
     highest = dim_market.agg(F.coalesce(F.max("market_key"), F.lit(0))).first()[0]
-    markets = keep_first(
-        gold.select("pair_id", "ticker_id", "asset_name", "captured_at").where("pair_id is not null"),
-        ["pair_id"], ["captured_at", "ticker_id", "asset_name"],
-    ).select("pair_id", "ticker_id", "asset_name")
-    numbered = with_row_index(absent_from(markets, dim_market, ["pair_id"]), ["pair_id"], "_n")
-    return numbered.select(
+    ids = gold.select("pair_id").where("pair_id is not null").distinct()
+    numbered = with_row_index(absent_from(ids, dim_market, ["pair_id"]), ["pair_id"], "_n")
+    rows = gold.select("pair_id", "ticker_id", "asset_name", "captured_at").join(numbered, "pair_id")
+    return keep_first(rows, ["pair_id"], ["captured_at", "ticker_id", "asset_name"]).select(
         (F.lit(highest) + F.col("_n")).cast("bigint").alias("market_key"),
         "pair_id", "ticker_id", "asset_name",
     )
