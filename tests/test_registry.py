@@ -11,7 +11,9 @@ import __spark_entry__ as entry
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 from check import TABLES, compare  # noqa: E402
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+from marketloom.registry import ORACLE, QUERIES  # noqa: E402
+
+
 
 
 @pytest.fixture(scope="module")
@@ -33,5 +35,9 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_entry_has_them_all():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
+
+
 def test_entry_is_lazy_and_named(spark):
     assert entry.entry(spark).columns[:2] == ["date", "symbol"]
