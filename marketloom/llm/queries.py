@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import mixing
+from marketloom.llm import mixing, quality, sqltext
 from marketloom.llm.words import table
 from marketloom.session import materialize
 
@@ -39,3 +39,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return placed.join(taken, ["sid", "position"], "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("bigint")).alias("taken"), "source")
+
+
+@query("op4_quality_rules", sqltext.quality())
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = materialize(quality.measured(table(spark, sf_dir, "documents")), "quality-measures")
+    return quality.judged(measured).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
