@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import mixing, quality, sqltext
+from marketloom.llm import embeddings, mixing, quality, sqltext
 from marketloom.llm.words import table
 from marketloom.session import materialize
 
@@ -46,3 +46,8 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = materialize(quality.measured(table(spark, sf_dir, "documents")), "quality-measures")
     return quality.judged(measured).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op10_embedding_near_dups")
+def op10_embedding_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
