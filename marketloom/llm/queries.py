@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import embeddings, mixing, quality, sqltext
+from marketloom.llm import embeddings, mixing, quality, sqltext, urls
 from marketloom.llm.words import table
 from marketloom.session import materialize
 
@@ -51,3 +51,8 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_embedding_near_dups")
 def op10_embedding_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op8_url_filter", sqltext.urls())
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")

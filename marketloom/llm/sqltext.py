@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from marketloom.llm import quality as q
+from marketloom.llm import urls as u
+from marketloom.llm.words import LOWER, UPPER
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -71,3 +73,45 @@ def quality() -> str:
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
            NOT base_failed AND {inside} AS kept
     FROM base"""
+
+
+def urls() -> str:
+    lower = lambda x: f"translate({x}, '{UPPER}', '{LOWER}')"
+    fits = " UNION ALL ".join(
+        f"SELECT rid, '{r.host}{r.path}' AS rule, '{r.verdict}' AS ruled FROM parts "
+        f"WHERE ends_with('.' || host, '.{r.host}') AND starts_with(path, '{r.path}')" for r in u.RULES)
+    keep, pass_on = 1 - u.DAMPING, u.DAMPING
+    steps = "".join(f"""
+    rank{i} AS MATERIALIZED (
+      SELECT host, coalesce(t0, 0) + {pass_on} * coalesce(t, 0) AS t, coalesce(d0, 0) + {pass_on} * coalesce(d, 0) AS d
+      FROM seed FULL JOIN (
+        SELECT host, sum(t) AS t, sum(d) AS d FROM (
+          SELECT dst AS host, n / n_out * r.t AS t, 0 AS d FROM weights JOIN rank{i - 1} r ON r.host = src
+          UNION ALL
+          SELECT src, 0, n / n_in * r.d FROM weights JOIN rank{i - 1} r ON r.host = dst) GROUP BY host) USING (host)),"""
+                    for i in range(1, u.STEPS + 1))
+    href = u.HREF.replace("'", "''")
+    return f"""
+    WITH parts AS MATERIALIZED (
+      SELECT row_number() OVER () AS rid, page_id, html,
+             coalesce({lower("regexp_extract(url, '://([^/?#]*)', 1)")}, '') AS host,
+             coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+      FROM pages),
+    fits AS ({fits}),
+    best AS (SELECT rid, arg_max(rule, length(rule)) AS rule, arg_max(ruled, length(rule)) AS ruled FROM fits GROUP BY rid),
+    judged AS MATERIALIZED (SELECT * FROM parts LEFT JOIN best USING (rid)),
+    seed AS MATERIALIZED (
+      SELECT host, {keep} * avg(coalesce(ruled = 'allow', false)::INT) AS t0,
+             {keep} * avg(coalesce(ruled = 'block', false)::INT) AS d0
+      FROM judged WHERE host <> '' GROUP BY host),
+    links AS MATERIALIZED (
+      SELECT src, dst, count(*) AS n FROM (
+        SELECT DISTINCT rid, host AS src, {lower("unnest(regexp_extract_all(html, '" + href + "', 1))")} AS dst
+        FROM parts WHERE host <> '') WHERE src <> dst GROUP BY ALL),
+    weights AS MATERIALIZED (
+      SELECT *, sum(n) OVER (PARTITION BY src) AS n_out, sum(n) OVER (PARTITION BY dst) AS n_in FROM links),
+    rank0 AS MATERIALIZED (SELECT host, t0 AS t, d0 AS d FROM seed),{steps}
+    ranks AS (SELECT * FROM rank{u.STEPS})
+    SELECT page_id, j.host, path, rule,
+           coalesce(ruled, CASE WHEN d > t AND d > {keep} * {u.SHARE} THEN 'block' ELSE 'allow' END) AS verdict
+    FROM judged j LEFT JOIN ranks USING (host)"""
