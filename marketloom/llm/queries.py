@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import embeddings, mixing, quality, sqltext, urls
+from marketloom.llm import embeddings, mixing, packing, quality, sqltext, urls
 from marketloom.llm.words import table
 from marketloom.session import materialize
 
+TOKENIZER = "word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -56,3 +57,19 @@ def op10_embedding_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_url_filter", sqltext.urls())
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def tokenizer(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def packed(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+    pieces = packing.cut(docs, tokenizer_path)
+    return packing.pack(pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"))
+
+
+@query("op1_pack_sequences")
+def op1_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"), tokenizer())
