@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import embeddings, mixing, packing, quality, sqltext, urls
+from marketloom.llm import embeddings, minhash, mixing, packing, quality, sqltext, urls
 from marketloom.llm.words import table
 from marketloom.session import materialize
 
@@ -73,3 +73,8 @@ def packed(docs: DataFrame, tokenizer_path: str) -> DataFrame:
 @query("op1_pack_sequences")
 def op1_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), tokenizer())
+
+
+@query("op9_minhash_near_dups")
+def op9_minhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
