@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import embeddings, minhash, mixing, packing, quality, sqltext, urls
+from marketloom.llm import embeddings, minhash, mixing, packing, quality, sqltext, suffixes, urls
 from marketloom.llm.words import table
 from marketloom.session import materialize
 
@@ -78,3 +78,12 @@ def op1_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_minhash_near_dups")
 def op9_minhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
+@query("op5_suffix_dedup")
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["to"] - s["from"])
+    return suffixes.deduplicated(docs).select(
+        "row.doc_id", (F.octet_length("kept") + removed).cast("bigint").alias("n_bytes"), removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
