@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import embeddings, minhash, mixing, packing, quality, sqltext, suffixes, urls
+from marketloom.llm import embeddings, lm, minhash, mixing, packing, quality, sqltext, suffixes, urls
 from marketloom.llm.words import table
 from marketloom.session import materialize
 
@@ -87,3 +87,8 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.deduplicated(docs).select(
         "row.doc_id", (F.octet_length("kept") + removed).cast("bigint").alias("n_bytes"), removed.alias("n_removed"),
         F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_lm_scores")
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(table(spark, sf_dir, "documents"))
