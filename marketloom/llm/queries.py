@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import embeddings, lm, minhash, mixing, packing, quality, sqltext, suffixes, urls
+from marketloom.llm import embeddings, licenses, lm, minhash, mixing, packing, quality, sqltext, suffixes, urls
 from marketloom.llm.words import table
 from marketloom.session import materialize
 
@@ -92,3 +92,17 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_lm_scores")
 def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scored(table(spark, sf_dir, "documents"))
+
+
+@query("op3_license_scan", sqltext.licenses())
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files below source/lang; one that is mostly a notice is its folder's licence file."""
+    docs = table(spark, sf_dir, "documents")
+    text = F.coalesce("text", F.lit(""))
+    notice = 3 * F.length(licenses.header(text)) >= F.length(text)
+    name = F.when(notice & (text != ""), F.concat(F.lit("LICENSE-"), F.col("doc_id"))).otherwise(
+        F.concat(F.col("doc_id"), F.lit(".txt")))
+    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")),
+                       F.expr("string(doc_id div 1000)"), name)
+    files = docs.select(F.col("doc_id").alias("fid"), path.alias("path"), "text")
+    return licenses.scanned(files).select(F.col("fid").alias("doc_id"), "path", "own", "cosine", "license", "origin")

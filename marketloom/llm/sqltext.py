@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from marketloom.llm import licenses as lic
 from marketloom.llm import quality as q
 from marketloom.llm import urls as u
 from marketloom.llm.words import LOWER, UPPER
@@ -115,3 +116,45 @@ def urls() -> str:
     SELECT page_id, j.host, path, rule,
            coalesce(ruled, CASE WHEN d > t AND d > {keep} * {u.SHARE} THEN 'block' ELSE 'allow' END) AS verdict
     FROM judged j LEFT JOIN ranks USING (host)"""
+
+
+def licenses() -> str:
+    lower = lambda x: f"translate({x}, '{UPPER}', '{LOWER}')"
+    term = r"[a-z0-9]+(?:\.[0-9]+)*"
+    templates = ", ".join(f"('{k}', '{v}')" for k, v in lic.TEMPLATES.items())
+    return f"""
+    WITH doc AS MATERIALIZED (
+      SELECT doc_id, coalesce(text, '') AS body, source, lang,
+             array_to_string(list_filter(string_split({lower("coalesce(text, '')")}, chr(10)),
+                                         lambda x: regexp_matches(x, '{lic.CUES}')), chr(10)) AS head
+      FROM documents),
+    named AS MATERIALIZED (
+      SELECT *, concat_ws('/', coalesce(source, 'none'), coalesce(lang, 'none'), doc_id // 1000) AS folder,
+             3 * length(head) >= length(body) AND body <> '' AS is_license FROM doc),
+    files AS MATERIALIZED (
+      SELECT doc_id, folder, is_license,
+             folder || '/' || CASE WHEN is_license THEN 'LICENSE-' || doc_id ELSE doc_id || '.txt' END AS path,
+             CASE WHEN is_license THEN {lower("body")} ELSE head END AS header FROM named),
+    tpl AS (SELECT k, unnest(regexp_extract_all({lower("v")}, '{term}')) AS term FROM (VALUES {templates}) t(k, v)),
+    tpl_tf AS (SELECT k, term, count(*) AS tf FROM tpl GROUP BY ALL),
+    tpl_w AS (SELECT k, term, tf, ln({1.0 + len(lic.TEMPLATES)} / count(*) OVER (PARTITION BY term)) AS idf FROM tpl_tf),
+    unit AS MATERIALIZED (
+      SELECT k, term, idf, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY k)) AS weight FROM tpl_w),
+    idfs AS (SELECT term, max(idf) AS idf FROM unit GROUP BY term),
+    tf AS (SELECT doc_id, term, count(*) AS tf
+           FROM (SELECT doc_id, unnest(regexp_extract_all(header, '{term}')) AS term FROM files) GROUP BY ALL),
+    w AS MATERIALIZED (SELECT doc_id, term, tf * coalesce(idf, ln({1.0 + len(lic.TEMPLATES)})) AS w FROM tf LEFT JOIN idfs USING (term)),
+    norm AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM w GROUP BY doc_id),
+    cos AS (SELECT doc_id, k, round(sum(w * weight) / any_value(norm), {lic.PLACES}) AS cosine
+            FROM w JOIN unit USING (term) JOIN norm USING (doc_id) GROUP BY doc_id, k),
+    best AS (SELECT doc_id, k AS own, cosine FROM cos WHERE cosine >= {lic.MIN_COSINE}
+             QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, k) = 1),
+    found AS MATERIALIZED (SELECT * FROM files LEFT JOIN best USING (doc_id)),
+    near AS (SELECT folder, arg_min(own, path) AS l FROM found WHERE is_license AND own IS NOT NULL GROUP BY folder),
+    inherits AS (
+      SELECT f.folder, arg_max(n.l, length(n.folder)) AS near
+      FROM (SELECT DISTINCT folder FROM files) f JOIN near n ON f.folder = n.folder OR starts_with(f.folder, n.folder || '/')
+      GROUP BY f.folder)
+    SELECT doc_id, path, own, cosine, coalesce(own, near) AS license,
+           CASE WHEN own IS NOT NULL THEN 'own' WHEN near IS NOT NULL THEN 'inherited' END AS origin
+    FROM found LEFT JOIN inherits USING (folder)"""
