@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import embeddings, licenses, lm, minhash, mixing, packing, quality, sqltext, suffixes, urls
+from marketloom.llm import chat, embeddings, licenses, lm, minhash, mixing, packing, quality, sqltext, suffixes, urls
 from marketloom.llm.words import table
 from marketloom.session import materialize
 
@@ -106,3 +106,8 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.expr("string(doc_id div 1000)"), name)
     files = docs.select(F.col("doc_id").alias("fid"), path.alias("path"), "text")
     return licenses.scanned(files).select(F.col("fid").alias("doc_id"), "path", "own", "cosine", "license", "origin")
+
+
+@query("op7_chat_format")
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rendered(chat.repaired(table(spark, sf_dir, "conversations")))
