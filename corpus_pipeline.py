@@ -7,18 +7,56 @@ written as Parquet and read again as the next stage's docs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marketloom.llm import mixing
+from marketloom.llm import minhash, mixing, quality, queries, suffixes
 from marketloom.llm.words import table
 from marketloom.session import materialize
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and their group's fences."""
+    measured = materialize(quality.measured(docs), "quality-measures")
+    rejected = quality.judged(measured).where("NOT kept").select("doc_id").distinct()
+    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["doc_id"]), "left_anti")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies."""
+    copies = minhash.near_duplicates(docs, width=5, num=8, den=10).where("NOT kept").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without what they repeat of earlier ones; a text with nothing left goes.
+
+    A cut through a character takes the whole character. ``n_chars`` counts
+    what is left.
+    """
+    text = F.when(F.size("spans") == 0, F.col("row.text")).otherwise(F.decode("kept", "UTF-8"))
+    cut = suffixes.deduplicated(docs, whole_characters=True).withColumn("text", text)
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("bigint")}
+    return cut.where("size(spans) = 0 OR octet_length(kept) > 0").select(
+        *[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often, and as far, as the mix takes their words."""
     return mixing.mixed_documents(docs)
 
 
-STAGES = [("mixing", mixed)]
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their places in training sequences."""
+    return queries.packed(docs, queries.tokenizer())
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("near duplicates", near_duplicates),
+    ("repeated passages", repeated_passages),
+    ("mixing", mixed),
+    ("packing", packed),
+]
 
 # Near copies, passages and packing have no practical SQL form; tests compare
 # the stages with plain versions.
@@ -28,5 +66,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return docs

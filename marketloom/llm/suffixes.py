@@ -389,8 +389,13 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shallow: in
     return found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("windows"))
 
 
-def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shallow: int = SHALLOW) -> DataFrame:
-    """Each document with ``spans`` (from, to) of the bytes to remove and ``kept``, the bytes that stay."""
+def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shallow: int = SHALLOW,
+                 whole_characters: bool = False) -> DataFrame:
+    """Each document as ``row`` with ``spans`` (from, to) of bytes to remove and ``kept``, the bytes that stay.
+
+    With ``whole_characters`` what is left of a character that a span cuts
+    through goes too, so the kept bytes are valid UTF-8.
+    """
     found = repeats(docs, length, gram, shallow).withColumnRenamed("doc_id", "_doc_id")
 
     def spans_of(windows: list[dict] | None) -> list[tuple[int, int]]:
@@ -411,7 +416,10 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shallo
                 for s, e in spans_of(windows):
                     parts.append(raw[at:s])
                     at = e
-                kept.append(b"".join([*parts, raw[at:]]))
+                parts.append(raw[at:])
+                if whole_characters:
+                    parts = [x.decode(errors="ignore").encode() for x in parts]
+                kept.append(b"".join(parts))
             yield pa.RecordBatch.from_arrays(
                 [batch["row"], pa.array(spans, pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))),
                  pa.array(kept, pa.binary())], names=["row", "spans", "kept"])
