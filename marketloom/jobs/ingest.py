@@ -15,7 +15,6 @@ from marketloom.context import RunContext
 from marketloom.operators.state import MarkStore
 from marketloom.sinks.bronze import write_bronze
 from marketloom.sources import documents, tables
-from marketloom.storage import observed
 
 Reader = Callable[[str], DataFrame]
 
@@ -56,7 +55,7 @@ class Extracted:
 
 
 def extract_one(dataset: Dataset, read: Reader, root: str, mark: datetime | None,
-                ctx: RunContext, strict: bool = True) -> Extracted:
+                ctx: RunContext, strict: bool = True, records: list[ExtractionRecord] | None = None) -> Extracted:
     """Write one dataset's new rows to Bronze and report its new mark.
 
     Count and mark are observed while the rows are written, so the source is
@@ -65,6 +64,8 @@ def extract_one(dataset: Dataset, read: Reader, root: str, mark: datetime | None
     """
     record = ExtractionRecord(run_id=ctx.run_id, source=dataset.source, dataset=dataset.name,
                               watermark_before=mark)
+    if records is not None:
+        records.append(record)
     try:
         batch = dataset.slice(read(dataset.name), mark, strict)
         if batch.isEmpty():
@@ -76,9 +77,9 @@ def extract_one(dataset: Dataset, read: Reader, root: str, mark: datetime | None
         counted = checked.observe(seen, F.count(F.lit(1)).alias("n"),
                                   F.max(F.unix_micros(at)).alias("mark"))
         path = write_bronze(counted, root, dataset.name, ctx, dataset.bronze_source)
-        metrics = observed(seen)
-        new_mark = _from_micros(metrics.get("mark"))
-        record.finish("success", metrics.get("n", 0), new_mark)
+        metrics = seen.get  # the batch has rows; an error in reading them must fail the run
+        new_mark = _from_micros(metrics["mark"])
+        record.finish("success", metrics["n"], new_mark)
         return Extracted(path, new_mark, record)
     except Exception as exc:
         record.finish("failed", error=str(exc))
@@ -100,18 +101,21 @@ def run_ingestion(spark: SparkSession, sources: Mapping[str, tuple[list[Dataset]
 
     Independent jobs share the cluster through a driver thread pool. Any failure
     fails the run before a mark moves; the next run reads the same slice again
-    and, for the same run id, overwrites what was written.
+    and, for the same run id, overwrites what was written. All marks move in one
+    commit, and every dataset's record reaches the audit table, failed or not.
     """
     stored = marks.all()
+    records: list[ExtractionRecord] = []
     work = [(d, read) for datasets, read in sources.values() for d in datasets]
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        jobs = [pool.submit(extract_one, d, read, root, stored.get(d.namespace), ctx, strict)
-                for d, read in work]
+    try:
+        with ThreadPoolExecutor(max_workers=threads) as pool:
+            jobs = [pool.submit(extract_one, d, read, root, stored.get(d.namespace), ctx, strict, records)
+                    for d, read in work]
         results = [job.result() for job in jobs]
-    done = [(d, r) for (d, _), r in zip(work, results) if r.path]
-    for source in sorted({d.source for d, _ in done}):
-        marks.commit({d.namespace: r.mark for d, r in done if d.source == source and r.mark}, source)
-    if audit_path:
-        append_audit(spark, audit_path, [r.record for r in results])
+        done = [(d, r) for (d, _), r in zip(work, results) if r.path]
+        marks.commit({d.namespace: r.mark for d, r in done if r.mark}, {d.namespace: d.source for d, _ in done})
+    finally:
+        if audit_path:
+            append_audit(spark, audit_path, records)
     return {f"{d.bronze_source}.{d.name}": r.path for d, r in done}
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +14,9 @@ from marketloom.functions import utc
 from marketloom.storage import children, delete, exists
 
 
+#: Older versions are deleted on commit.
 KEPT_VERSIONS = 20
+COMMIT_ATTEMPTS = 10
 
 
 class MarkStore:
@@ -47,19 +50,30 @@ class MarkStore:
     def get(self, namespace: str) -> datetime | None:
         return self.all().get(namespace)
 
-    def commit(self, marks: Mapping[str, datetime], source: str) -> None:
-        """Insert or update several marks at once."""
+    def commit(self, marks: Mapping[str, datetime], source: str | Mapping[str, str]) -> None:
+        """Insert or update several marks at once; ``source`` is theirs, or one for each.
+
+        A version is never overwritten: where another commit has taken the
+        number, the marks are read again and written as the next one.
+        """
         if not marks:
             return
         now = datetime.now(timezone.utc)
+        of = source if isinstance(source, Mapping) else dict.fromkeys(marks, source)
         rows = self.spark.createDataFrame(
-            [(n, source, utc(m), now) for n, m in sorted(marks.items())],
+            [(n, of[n], utc(m), now) for n, m in sorted(marks.items())],
             schemas.struct(schemas.WATERMARK),
         )
-        kept = self.table().where(~F.col("namespace").isin(list(marks)))
-        versions = self._versions()
-        version = versions[-1] + 1 if versions else 1
-        kept.unionByName(rows).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/version={version}")
+        for attempt in range(COMMIT_ATTEMPTS):
+            versions = self._versions()
+            version = versions[-1] + 1 if versions else 1
+            kept = self.table().where(~F.col("namespace").isin(list(marks)))
+            try:
+                kept.unionByName(rows).coalesce(1).write.mode("errorifexists").parquet(f"{self.root}/version={version}")
+                break
+            except AnalysisException:
+                if attempt == COMMIT_ATTEMPTS - 1 or version not in self._versions():
+                    raise
         for old in versions[:-KEPT_VERSIONS]:
             delete(self.spark, f"{self.root}/version={old}")
 

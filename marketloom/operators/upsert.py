@@ -6,12 +6,11 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from marketloom.operators.dedup import absent_from
 from marketloom.session import materialize
 from marketloom.sinks.lake import write_by_date
-from marketloom.storage import NULL_PARTITION, children, read_partitions
+from marketloom.storage import read_partitions
 
 
 def merge_rows(existing: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -30,11 +29,14 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[st
 
     ``keys`` include the date, so only partitions of touched dates are read and
     rewritten; their list has one entry per calendar day. The updates, which
-    are usually the result of a long aggregation, are computed once; their keys
-    must be unique. All partitions are committed by one job, with rows sorted by
+    are usually the result of a long aggregation, are computed once; a key found
+    twice among them is an error. All partitions are committed by one job, with rows sorted by
     the remaining keys so that file statistics prune on them.
     """
     updates = materialize(updates, "upsert")
+    twice = updates.groupBy(*keys).count().where("count > 1").head()
+    if twice:
+        raise ValueError(f"key occurs {twice['count']} times in the updates: {twice.asDict()}")
     touched = [r[0] for r in updates.select(date_column).distinct().collect()]
     if not touched:
         return []
@@ -43,17 +45,3 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[st
     rest = [k for k in keys if k != date_column]
     write_by_date(rows, path, date_column, order=rest)
     return touched
-
-
-def newer_than_target(spark: SparkSession, source: DataFrame, path: str, at: str,
-                      date_column: str = "date") -> DataFrame:
-    """Source rows from the target's last date on.
-
-    The last date itself is included: it may have been loaded while incomplete,
-    and the upsert makes repeating it harmless. The date comes from the names
-    of the target's partitions, so no data of it is read.
-    """
-    prefix = f"{date_column}="
-    days = [n[len(prefix):] for n in children(spark, path) if n.startswith(prefix)]
-    days = [d for d in days if d != NULL_PARTITION]
-    return source.where(F.col(at) >= F.lit(max(days)).cast("timestamp")) if days else source

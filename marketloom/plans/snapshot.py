@@ -27,10 +27,10 @@ def build_market_snapshot(pairs: DataFrame, summaries: DataFrame) -> DataFrame:
     """One row per listed pair that has a ticker, per run.
 
     ``pairs``: ``id, ticker_id`` and, if pair lists differ by run, ``run_id``.
-    ``summaries``: one document per run with the maps ``tickers``,
+    ``summaries``: documents, told apart by (run, source_file, captured_at), with the maps ``tickers``,
     ``prices_24h``, ``prices_7d`` plus ``run_id, captured_at, source_file``.
 
-    The document's maps become rows that meet on (run, key): tickers are keyed
+    The document's maps become rows that meet on (document, key): tickers are keyed
     by ticker id, prior prices by pair id. Carrying the price maps along the
     exploded tickers instead would square the document's size.
     """
@@ -44,7 +44,8 @@ def build_market_snapshot(pairs: DataFrame, summaries: DataFrame) -> DataFrame:
         "run_id", "captured_at", "source_file", F.explode("tickers").alias("ticker_id", "t")
     ).where(F.col("t").isNotNull())
     prior = docs.select(
-        F.col("run_id").alias("_prior_run"),
+        F.col("run_id").alias("_prior_run"), F.col("source_file").alias("_prior_file"),
+        F.col("captured_at").alias("_prior_at"),
         F.explode(F.map_zip_with(
             "prices_24h", "prices_7d", lambda _, day, week: F.struct(day.alias("day"), week.alias("week"))
         )).alias("_prior_pair", "p"),
@@ -55,7 +56,8 @@ def build_market_snapshot(pairs: DataFrame, summaries: DataFrame) -> DataFrame:
     rows = quotes.join(listed, ["ticker_id", "run_id"] if per_run else "ticker_id", "inner")
     rows = rows.join(
         prior,
-        (F.col("run_id") == F.col("_prior_run")) & (F.col("pair_id") == F.col("_prior_pair")),
+        (F.col("run_id") == F.col("_prior_run")) & (F.col("pair_id") == F.col("_prior_pair"))
+        & F.col("source_file").eqNullSafe(F.col("_prior_file")) & F.col("captured_at").eqNullSafe(F.col("_prior_at")),
         "left",
     )
 

@@ -21,17 +21,16 @@ class MissingMarketError(ValueError):
 def new_markets(gold: DataFrame, dim_market: DataFrame) -> DataFrame:
     """Markets not yet known, keyed from the current maximum upwards by pair id.
 
-    New ids are found among the distinct ones and numbered first; only rows of
-    new pairs are then looked at for the other columns, in steady state hardly
-    any. Of several rows for a pair the earliest wins.
+    Of several rows for a pair the earliest wins. Rows are reduced to one per
+    pair in the scan's own tasks; only those are compared and numbered.
     """
     highest = dim_market.agg(F.coalesce(F.max("market_key"), F.lit(0))).first()[0]
-    ids = gold.select("pair_id").where("pair_id is not null").distinct()
-    numbered = with_row_index(absent_from(ids, dim_market, ["pair_id"]), ["pair_id"], "_n")
-    rows = gold.select("pair_id", "ticker_id", "asset_name", "captured_at").join(numbered, "pair_id")
-    return keep_first(rows, ["pair_id"], ["captured_at", "ticker_id", "asset_name"]).select(
+    earliest = gold.where("pair_id IS NOT NULL").groupBy("pair_id").agg(
+        F.min(F.struct("captured_at", "ticker_id", "asset_name")).alias("_first"))
+    numbered = with_row_index(absent_from(earliest, dim_market, ["pair_id"]), ["pair_id"], "_n")
+    return numbered.select(
         (F.lit(highest) + F.col("_n")).cast("bigint").alias("market_key"),
-        "pair_id", "ticker_id", "asset_name",
+        "pair_id", "_first.ticker_id", "_first.asset_name",
     )
 
 
@@ -55,16 +54,20 @@ def new_facts(gold: DataFrame, dim_market: DataFrame, fact: DataFrame,
               on_missing: str = "drop") -> DataFrame:
     """Snapshot rows whose (market, captured_at) is not in the fact table yet.
 
-    ``on_missing="drop"`` leaves out rows of unknown markets, ``"raise"``
-    fails and lists them.
+    The key is unique and never null: of several rows of a batch with one key
+    the smallest in column order is loaded, and rows without ``captured_at`` are
+    left out (``quality.rules.quarantine`` keeps them). ``on_missing="drop"``
+    leaves out rows of unknown markets, ``"raise"`` fails and lists them.
     """
+    gold = gold.where("captured_at IS NOT NULL")
     if on_missing == "raise":
         require_markets(gold, dim_market)
     measures = [c for c in schemas.columns(schemas.FACT_SNAPSHOT) if c not in ("market_key", "date_key")]
     keyed = gold.join(dim_market.select("market_key", "pair_id"), "pair_id", "inner").select(
         "market_key", date_key("captured_at").alias("date_key"), *measures
     )
-    return absent_from(keyed, fact, ["market_key", "captured_at"])
+    rest = [c for c in keyed.columns if c not in ("market_key", "captured_at")]
+    return keep_first(absent_from(keyed, fact, ["market_key", "captured_at"]), ["market_key", "captured_at"], rest)
 
 
 def require_markets(gold: DataFrame, dim_market: DataFrame, show: int = 100) -> None:

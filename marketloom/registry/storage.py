@@ -7,7 +7,6 @@ from datetime import datetime, timezone
 from pyspark.sql import functions as F
 
 from marketloom.context import RunContext
-from marketloom.operators.upsert import newer_than_target, upsert
 from marketloom.plans import daily, marts
 from marketloom.plans.star import load_market_snapshot, row_counts
 from marketloom.registry import inputs as src
@@ -17,25 +16,57 @@ from marketloom.registry.market import wide
 from marketloom.registry.snapshot import SILVER_BY_DAY, _gold_by_type, silver_by_day
 from marketloom.session import work_path
 from marketloom.sinks.bronze import write_bronze
+from marketloom.jobs.quotes import load_quotes
 from marketloom.sinks.lake import SILVER, write_silver
 from marketloom.sinks.tables import TableStore
+from marketloom.sources.documents import newer_documents, read_documents
 from marketloom.sources.landing import read_runs, read_snapshots
 from marketloom.streaming.incremental import read_landing, stream_daily_market, stream_user_activity
 
 FIRST_LOAD_UNTIL = "2024-01-20 12:00:00"
 
 
+def _load_in_slices(spark, sf_dir, label):
+    """Quotes loaded in three slices, the last one late, and that one twice."""
+    ticks, root = src.ticks(spark, sf_dir), work_path(spark, label)
+    at = F.col("captured_at")
+    instant = lambda t: F.lit(t).cast("timestamp_ntz")
+    late = (at >= instant("2024-01-10")) & (at < instant("2024-01-13")) & (F.col("event_id") % 2 == 0)
+    early = at < instant(FIRST_LOAD_UNTIL)
+    for batch, rows in enumerate([early & ~late, ~early & ~late, late, late]):
+        load_quotes(spark, root, ticks.where(rows), min(batch, 2), "event_id")
+    return root
+
+
 @register("upsert_market", q.with_ctes(q.DAILY_MARKET, "SELECT * FROM daily_market"))
 def upsert_market(spark, sf_dir):
-    """Daily market loaded up to the middle of a day, then upserted from that day on."""
-    ticks = src.ticks(spark, sf_dir)
-    path = work_path(spark, "upsert-market")
-    until = F.lit(FIRST_LOAD_UNTIL).cast("timestamp_ntz")
-    early = daily.daily_market(ticks.where(F.col("captured_at") < until), "event_id")
-    upsert(spark, path, early, marts.GRAIN["market_daily"])
-    late = newer_than_target(spark, ticks, path, "captured_at")
-    upsert(spark, path, daily.daily_market(late, "event_id"), marts.GRAIN["market_daily"])
-    return wide(spark.read.parquet(path), "volume_idr", "volume_asset")
+    root = _load_in_slices(spark, sf_dir, "upsert-market")
+    return wide(spark.read.parquet(f"{root}/daily_market"), "volume_idr", "volume_asset")
+
+
+@register("upsert_market_mart", q.with_ctes(q.MARKET_DAILY, "SELECT * FROM market_daily"))
+def upsert_market_mart(spark, sf_dir):
+    """The mart with its day-over-day change equals the one made in one go."""
+    root = _load_in_slices(spark, sf_dir, "upsert-mart")
+    return wide(spark.read.parquet(f"{root}/market_daily"), "volume_idr", "volume_asset")
+
+
+@register("documents_incremental", """
+SELECT event_id FROM events WHERE ts > TIMESTAMP '2024-01-15 12:00:00.5'""")
+def documents_incremental(spark, sf_dir):
+    """Events as documents whose times come with and without fractions, with Z and offsets."""
+    ts = F.col("ts")
+    form = F.expr("case pmod(event_id, 3) when 0 then date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")"
+                  " when 1 then date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'\")"
+                  " else date_format(ts + interval 7 hours, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+07:00'\") end")
+    whole = F.regexp_replace(form, r"\.000000", "")
+    path = work_path(spark, "documents")
+    src.table(spark, sf_dir, "events").where(ts.isNotNull()).select(
+        F.col("event_id").cast("string").alias("_id"), F.col("event_type").alias("event"),
+        F.lit("{}").alias("context"), whole.alias("ingested_at")).write.json(path)
+    mark = datetime(2024, 1, 15, 12, 0, 0, 500_000, tzinfo=timezone.utc)
+    found = newer_documents(read_documents(spark, path), mark)
+    return found.select(F.col("_id").cast("bigint").alias("event_id"))
 
 
 @register("bronze_roundtrip", """

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from marketloom import schemas
 from marketloom.functions import cast_to
-from marketloom.storage import exists, make_dirs, observed, read_partitions
+from marketloom.session import materialize
+from marketloom.storage import exists, make_dirs, read_partitions
 
 
 def route_schema(custom: str | None, default: str) -> str:
@@ -59,18 +59,20 @@ class TableStore:
         out.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.path(table))
 
     def append(self, df: DataFrame, table: str, partition_by: str | None = None) -> int:
-        """Append and return the number of rows, counted while writing."""
+        """Append and return the number of rows.
+
+        The rows are computed once, into a stored step that is then counted.
+        """
         ddl = schemas.STAR.get(table)
-        out = conform(df, ddl) if ddl else df
-        rows = Observation()
-        out = out.observe(rows, F.count(F.lit(1)).alias("n"))
+        out = materialize(conform(df, ddl) if ddl else df, "append")
+        n = out.count()
         if partition_by:
             out = out.hint("rebalance", partition_by)
         writer = out.write.mode("append")
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(self.path(table))
-        return observed(rows).get("n", 0)
+        return n
 
 
 def save_table(df: DataFrame, name: str, ddl: str | None = None, mode: str = "overwrite") -> None:

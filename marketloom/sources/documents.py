@@ -47,19 +47,19 @@ def tabular(df: DataFrame) -> DataFrame:
     return df.select("_id", "event", F.coalesce("context", F.lit("{}")).alias("context"), "ingested_at")
 
 
-def mark_text(mark: datetime | str) -> str:
-    return mark if isinstance(mark, str) else utc(mark).strftime("%Y-%m-%dT%H:%M:%SZ")
-
-
 def newer_documents(df: DataFrame, mark: datetime | str | None, strict: bool = True) -> DataFrame:
-    """Documents ingested after the mark, compared as ISO text.
+    """Documents ingested after the mark, compared as instants.
 
-    Ingestion time is used, not event time, so late events are not lost.
+    Ingestion time is used, not event time, so late events are not lost. Texts
+    may carry fractions and any offset. A text that is no time is let through,
+    for the envelope check to report.
     """
     if mark is None:
         return df
-    text = F.lit(mark_text(mark))
-    return df.where(F.col("ingested_at") > text if strict else F.col("ingested_at") >= text)
+    at = F.col("ingested_at").try_cast("timestamp")
+    since = F.lit(mark).cast("timestamp") if isinstance(mark, str) else F.lit(utc(mark))
+    newer = at > since if strict else at >= since
+    return df.where(newer | (at.isNull() & F.col("ingested_at").isNotNull()))
 
 
 def max_ingested(df: DataFrame) -> datetime | None:

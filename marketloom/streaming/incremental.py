@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -13,8 +13,9 @@ from marketloom.functions import as_date, ingestion_date, ingestion_hour
 from marketloom.operators.upsert import upsert
 from marketloom.plans import daily, marts
 from marketloom.sinks.bronze import json_ready
+from marketloom.session import materialize
 from marketloom.sources.landing import dataset_root
-from marketloom.storage import observed, read_partitions
+from marketloom.storage import read_partitions
 
 Staging = Callable[[DataFrame], DataFrame]
 
@@ -68,24 +69,20 @@ def stream_to_bronze(stream: DataFrame, root: str, source: str, dataset: str, ch
     return path
 
 
-def _store_batch(batch: DataFrame, batch_id: int, path: str, at: str) -> list:
-    """Write one batch by date and return its dates, noted while writing.
+def store_batch(batch: DataFrame, batch_id: int, path: str, at: str) -> list:
+    """Write one batch by date and return its dates, at most one per calendar day.
 
     A repeated batch replaces its own partitions only.
     """
-    seen = Observation()
-    dated = batch.withColumns({"date": as_date(at), "batch": F.lit(batch_id).cast("bigint")}).observe(
-        seen, F.collect_set("date").alias("dates"), F.count_if(F.col("date").isNull()).alias("undated")
-    )
+    dated = materialize(batch.withColumns({"date": as_date(at), "batch": F.lit(batch_id).cast("bigint")}), "batch")
     (
         dated.hint("rebalance", "date").write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy("date", "batch").parquet(path)
     )
-    metrics = observed(seen)
-    return list(metrics.get("dates", [])) + ([None] if metrics.get("undated") else [])
+    return [r[0] for r in dated.select("date").distinct().collect()]
 
 
-def _rows_on(spark: SparkSession, path: str, schema: StructType, dates: list) -> DataFrame:
+def rows_on(spark: SparkSession, path: str, schema: StructType, dates: list) -> DataFrame:
     full = StructType(schema.fields).add("date", "date").add("batch", "long")
     return read_partitions(spark, path, full, "date", dates).drop("date", "batch")
 
@@ -103,9 +100,9 @@ def stream_daily_market(spark: SparkSession, stream: DataFrame, root: str, stage
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         staged = stage(batch)
-        dates = _store_batch(staged, batch_id, ticks_path, "captured_at")
+        dates = store_batch(staged, batch_id, ticks_path, "captured_at")
         if dates:
-            ticks = _rows_on(session, ticks_path, staged.schema, dates)
+            ticks = rows_on(session, ticks_path, staged.schema, dates)
             upsert(session, table_path, daily.daily_market(ticks, tie_break), ["date", "symbol"])
 
     run_available(stream, f"{root}/checkpoint", each_batch)
@@ -119,9 +116,9 @@ def stream_user_activity(spark: SparkSession, stream: DataFrame, root: str, stag
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         staged = stage(batch)
-        dates = _store_batch(staged, batch_id, events_path, "ingested_at")
+        dates = store_batch(staged, batch_id, events_path, "ingested_at")
         if dates:
-            events = _rows_on(session, events_path, staged.schema, dates)
+            events = rows_on(session, events_path, staged.schema, dates)
             mart = marts.user_activity_daily(daily.user_events_daily(events))
             upsert(session, table_path, mart, marts.GRAIN["user_activity_daily"])
 

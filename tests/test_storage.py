@@ -14,7 +14,7 @@ from marketloom.jobs.ingest import DOCUMENTS, RELATIONAL, Dataset, run_ingestion
 from marketloom.operators.dedup import absent_from, keep_first, latest_only, orphans
 from marketloom.operators.ranking import dense_rank_desc, with_row_index
 from marketloom.operators.state import MarkStore
-from marketloom.operators.upsert import newer_than_target, upsert
+from marketloom.operators.upsert import upsert
 from marketloom.plans import star
 from marketloom.session import release_work, shared_dir
 from marketloom.sinks.bronze import bronze_path, json_ready, write_bronze, write_bronze_parquet, write_many
@@ -286,12 +286,9 @@ def test_upsert(spark, tmp_path):
     assert upsert(spark, path, update.limit(0), keys) == []
 
 
-def test_newer_than_target(spark, tmp_path):
-    src = spark.createDataFrame([(datetime(2026, 1, d, 5, tzinfo=UTC),) for d in (1, 2, 3)], "at timestamp")
-    path = str(tmp_path / "mart")
-    assert newer_than_target(spark, src, path, "at").count() == 3
-    upsert(spark, path, mart(spark, (2, "a", 1), (None, "a", 1)), ["date", "symbol"])
-    assert newer_than_target(spark, src, path, "at").count() == 2
+def test_upsert_refuses_double_keys(spark, tmp_path):
+    with pytest.raises(ValueError, match="2 times"):
+        upsert(spark, str(tmp_path / "mart"), mart(spark, (2, "a", 1), (2, "a", 3)), ["date", "symbol"])
 
 
 # --- star -----------------------------------------------------------------------
