@@ -30,7 +30,7 @@ CAPACITY = 2048
 GRAIN = 16
 END_ID = 1
 #: Words whose ids a Python worker keeps; beyond that it starts anew.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 1_200_000
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long"
 
 
@@ -78,7 +78,7 @@ class WordIds:
         if len(self.known) > self.cached:
             self.known.clear()
         split = [self.split(t) for t in texts]
-        self.learn(set().union(*split) - self.known.keys())
+        self.learn({w for words in split for w in words if w not in self.known})
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
@@ -218,7 +218,8 @@ def places(plan: list[tuple[dict[int, int], int]]) -> dict[int, np.ndarray]:
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, grain: int = GRAIN) -> DataFrame:
     """Add sequence_id and offset to pieces with doc_id, start, length and any other columns."""
-    classes = capacity // grain
+    # The sort samples its input first, so the pieces are stored, not made twice.
+    pieces, classes = materialize(pieces, "pieces"), capacity // grain
     cls = F.least(F.ceil(F.col("length") / grain), F.lit(classes)).cast("int")
     indexed = with_row_index(pieces.withColumn("_class", cls), ["_class", "doc_id", "start"], "_idx", start=0)
     counts = {r[0]: r[1] for r in indexed.groupBy("_class").count().orderBy("_class").collect()}  # <= classes rows
