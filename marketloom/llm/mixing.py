@@ -157,7 +157,7 @@ def draw_slots(spark, sources: Sequence[Source], block: int, shard_slots: int, s
         ends += s.slots
         bounds.append(ends)
     if not slots:
-        return spark.range(0).selectExpr("0L shard", "0 sid", "0L slot", "0L block_no", "0L words")
+        return spark.range(0).selectExpr("0L shard", "0 sid", "0L slot", "0L pass", "0L block_no", "0L words")
     per_source = {
         name: F.array(*[F.lit(int(v)).cast("bigint") for v in values])
         for name, values in {
