@@ -35,8 +35,10 @@ GRAM = 24
 SHALLOW = 32
 #: Bytes hashed at a time; longer texts are cut into tiles that overlap by a window.
 TILE = 1 << 20
-#: Different runs of a key from which on it is split by content.
-SPLIT_FROM = 256
+#: Different runs of a key from which on it is split by content; fewer fit easily in one task.
+SPLIT_FROM = 4096
+#: Split texts that a task remembers, to settle equal ones before the shuffle.
+REMEMBERED = 100_000
 SPLIT_OFFSETS = 8
 
 _FACTOR = 0x100000001B3
@@ -298,13 +300,18 @@ def equal_suffixes(data: bytes, group: np.ndarray, pos: np.ndarray, length: int,
 
 
 def fetch_text(open_runs: DataFrame, docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """(bucket, doc_id, start, n, data): the text of open runs, cut by offset where a key has many runs."""
+    """(bucket, doc_id, start, n, data): the text of open runs, cut by offset where a key has many runs.
+
+    Of equal cut texts only the first that a task meets is sent on; later
+    places have no data and are repeats.
+    """
     many = open_runs.groupBy("key").agg(F.count(F.lit(1)).alias("runs"))
     listed = open_runs.join(many, "key").groupBy("doc_id").agg(
         F.collect_list(F.struct("key", "start", "n", (F.col("runs") >= SPLIT_FROM).alias("hot"))).alias("runs"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = powers_of_factor(TILE + 2 * length)
+        seen: dict[tuple[int, bytes], tuple[int, int]] = {}
         for batch in batches:
             for i in range(batch.num_rows):
                 doc, raw, rows = batch["doc_id"][i].as_py(), batch["text"][i].as_py().encode(), []
@@ -312,7 +319,12 @@ def fetch_text(open_runs: DataFrame, docs: DataFrame, length: int, gram: int) ->
                     s, n = r["start"], r["n"]
                     part = raw[s:s + n + length - 1]
                     for bucket, a, b in split_run(part, r["key"], n, powers) if r["hot"] else [(r["key"], 0, n)]:
-                        rows.append((bucket, s + a, b - a, part[a:b + length - 1]))
+                        own = part[a:b + length - 1]
+                        if r["hot"] and seen.setdefault((bucket, own), (doc, s + a)) < (doc, s + a):
+                            own = None
+                        rows.append((bucket, s + a, b - a, own))
+                    if len(seen) > REMEMBERED:
+                        seen.clear()
                 bucket, start, n, data = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(bucket, pa.int64()), pa.array([doc] * len(rows), pa.int64()), pa.array(start, pa.int64()),
@@ -384,8 +396,13 @@ def sort_suffixes(open_text: DataFrame, length: int, shallow: int) -> DataFrame:
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shallow: int = SHALLOW) -> DataFrame:
     """(doc_id, windows): the windows of each document that also start earlier, as (start, n)."""
     settled = materialize(settle_runs(find_runs(docs, length, gram)), "settled-runs")
-    text = fetch_text(settled.where("open").select("key", "doc_id", "start", "n"), docs, length, gram)
-    found = settled.where("NOT open").select("doc_id", "start", "n").union(sort_suffixes(text, length, shallow))
+    text = materialize(
+        fetch_text(settled.where("open").select("key", "doc_id", "start", "n"), docs, length, gram), "open-runs")
+    found = (
+        settled.where("NOT open").select("doc_id", "start", "n")
+        .union(text.where("data IS NULL").select("doc_id", "start", "n"))
+        .union(sort_suffixes(text.where("data IS NOT NULL"), length, shallow))
+    )
     return found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("windows"))
 
 
