@@ -7,9 +7,9 @@ verified on their full sets, and verified links joined to components.
 
 A band's classes are not compared pair by pair. First each class meets the
 smallest class that it shares a band with. Then only bands that still hold
-several components count: small ones compare what is in different components;
-in a large one, one class meets all others and then leaves the band, which
-settles its links there. This goes on until every band holds one component, so
+several components count: classes outside a band's main component meet all
+others there, a bounded number of them each turn, and then leave the band, which
+settles their links in it. This goes on until every band holds one component, so
 no link within a band is lost. With 48 bands of 6 rows a pair at similarity 0.8
 shares no band with a probability below 1e-6.
 
@@ -32,7 +32,7 @@ from marketloom.llm.components import components
 from marketloom.session import materialize
 
 BANDS, ROWS = 48, 6
-#: A band of at most so many classes compares all that lie in different components.
+#: Classes outside a band's main component that meet all others in one turn.
 SMALL_BAND = 32
 #: Classes that meet one other class in one task; more are spread by a salt.
 PER_TASK = 64
@@ -58,7 +58,7 @@ class Shingler:
         words = text.encode().translate(self.LOWER).split()
         if len(self.known) > self.cached:
             self.known.clear()
-        for w in set(words) - self.known.keys():
+        for w in {w for w in words if w not in self.known}:
             self.known[w] = xxhash.xxh3_64_intdigest(w)
         return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
 
@@ -73,16 +73,25 @@ class Shingler:
         return np.unique(out)
 
 
-def band_hashes(hashes: np.ndarray, bands: int, rows: int, seed: int) -> np.ndarray:
-    """One 64-bit number per band from the minima of bands x rows universal hashes."""
+def coefficients(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors (odd) and summands of n universal hash functions in 32 bits."""
     rng = np.random.default_rng(seed)
-    a = rng.integers(0, 1 << 63, bands * rows, np.uint64) * np.uint64(2) + np.uint64(1)
-    b = rng.integers(0, 1 << 63, bands * rows, np.uint64)
-    least = np.full(bands * rows, np.iinfo(np.uint64).max, np.uint64)
+    return (rng.integers(0, 1 << 31, (n, 1), np.uint32) * np.uint32(2) + np.uint32(1),
+            rng.integers(0, 1 << 32, (n, 1), np.uint32))
+
+
+def band_hashes(hashes: np.ndarray, functions: tuple[np.ndarray, np.ndarray], bands: int, rows: int) -> np.ndarray:
+    """One 64-bit number per band from the minima of bands x rows universal hashes.
+
+    The upper halves of the shingle hashes are hashed on, in 32 bits.
+    """
+    a, b = functions
+    short = (hashes >> np.uint64(32)).astype(np.uint32)
+    least = np.full(bands * rows, np.iinfo(np.uint32).max, np.uint32)
     with np.errstate(over="ignore"):
-        for s in range(0, len(hashes), 256):
-            np.minimum(least, (hashes[s:s + 256, None] * a + b).min(axis=0), out=least)
-        minima = least.reshape(bands, rows)
+        for s in range(0, len(short), 512):
+            np.minimum(least, (short[None, s:s + 512] * a + b).min(axis=1), out=least)
+        minima = least.reshape(bands, rows).astype(np.uint64)
         out = np.arange(bands, dtype=np.uint64)
         for r in range(rows):
             out = _mix(out * np.uint64(0x9E3779B97F4A7C15) + minima[:, r])
@@ -95,7 +104,7 @@ def signed(docs: DataFrame, width: int, bands: int, rows: int, seed: int) -> Dat
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
-        shingler = Shingler(width)
+        shingler, functions = Shingler(width), coefficients(bands * rows, seed)
         for whole in batches:
             for batch in (whole.slice(s, 512) for s in range(0, whole.num_rows, 512)):
                 sizes, digests, marks = [], [], []
@@ -103,7 +112,7 @@ def signed(docs: DataFrame, width: int, bands: int, rows: int, seed: int) -> Dat
                     h = shingler.of(text)
                     sizes.append(len(h))
                     digests.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest())
-                    marks.append(band_hashes(h, bands, rows, seed).view(np.int64) if len(h) else [])
+                    marks.append(band_hashes(h, functions, bands, rows).view(np.int64) if len(h) else [])
                 yield pa.RecordBatch.from_arrays(
                     [batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
                      pa.array(marks, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "digest", "bands"])
@@ -179,10 +188,25 @@ def _labelled(live: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def _open_bands(rows: DataFrame) -> DataFrame:
-    """Bands with more than one component, their size and smallest class."""
-    return rows.groupBy("band").agg(
-        F.count(F.lit(1)).alias("size"), F.min(F.struct("id", "c")).alias("first"), F.min("c").alias("lo"),
-        F.max("c").alias("hi")).where("lo < hi").select("band", "size", "first")
+    """Bands with more than one component: size, largest component, classes outside it."""
+    return (
+        rows.groupBy("band", "c").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("band").agg(F.sum("n").alias("size"), F.max(F.struct("n", "c")).alias("most"), F.count(F.lit(1)).alias("parts"))
+        .where("parts > 1").select("band", "size", F.col("most.c").alias("main"), (F.col("size") - F.col("most.n")).alias("stray"))
+    )
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after new links: only the components that the links touch are looked at."""
+    of = labels.select(F.col("node").alias("_n"), F.col("component_id").alias("_c"))
+    edges = links
+    for end in ("a", "b"):
+        other = "b" if end == "a" else "a"
+        edges = edges.join(of, F.col(end) == F.col("_n"), "left").select(F.coalesce("_c", end).alias(end), other)
+    roots = materialize(components(edges.select("a", "b")), "joined-roots")
+    moved = labels.join(roots.select(F.col("node").alias("_n"), F.col("component_id").alias("_to")),
+                        F.col("component_id") == F.col("_n"), "left")
+    return materialize(moved.select("node", F.coalesce("_to", "component_id").alias("component_id")).union(roots), "labels")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, num: int = 8, den: int = 10, bands: int = BANDS,
@@ -204,24 +228,25 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 8, den: int = 10
     nearest = live.groupBy("id").agg(F.min("least").alias("a")).where("a < id")
     sets = materialize(shingle_sets(docs, live.select("id").distinct(), width), "shingle-sets")
     links = materialize(verified(nearest.select("a", F.col("id").alias("b")), sets, num, den), "links")
-    labels = components(links)
-    live = live.select("band", "id")
+    labels = materialize(components(links), "labels")
+    live, turn = live.select("band", "id"), 0
     while True:
         marked = materialize(_labelled(live, labels), "marked-bands")
         open_ = materialize(_open_bands(marked), "open-bands")
         if open_.isEmpty():
             break
         inside = marked.join(open_, "band")
-        small = inside.where(F.col("size") <= SMALL_BAND)
-        other = small.select("band", F.col("id").alias("b"), F.col("c").alias("c_b"))
-        near = small.select("band", F.col("id").alias("a"), F.col("c").alias("c_a")).join(other, "band").where(
-            "a < b AND c_a <> c_b").select("a", "b")
-        large = inside.where(F.col("size") > SMALL_BAND)
-        star = large.where("c <> first.c").select(F.col("first.id").alias("a"), F.col("id").alias("b"))
-        pairs = materialize(near.union(star).distinct(), "open-pairs")
-        found = materialize(links.union(verified(pairs, sets, num, den)), "links")
-        links, labels = found, components(found)
-        live = materialize(large.where("id <> first.id").select("band", "id"), "band-members")
+        # In a small band every class outside the main component meets all others,
+        # in a large one about SMALL_BAND of them each turn; they then leave it.
+        parts = F.ceil(F.col("stray") / SMALL_BAND).cast("bigint")
+        chosen = (F.col("c") != F.col("main")) & (F.pmod(F.xxhash64("id"), parts) == F.pmod(F.lit(turn), parts))
+        centers = inside.where(chosen).select("band", F.col("id").alias("a"), F.col("c").alias("c_a"))
+        near = inside.select("band", F.col("id").alias("b"), F.col("c").alias("c_b"))
+        pairs = materialize(
+            centers.join(near, "band").where("c_a <> c_b").select("a", "b").distinct(), "open-pairs")
+        labels = _joined(labels, materialize(verified(pairs, sets, num, den), "links"))
+        live = materialize(inside.where(~chosen).select("band", "id"), "band-members")
+        turn += 1
     classes = reps.select("digest", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "digest", F.coalesce("component_id", "rep").alias("component_id"))
     whole = signatures.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
