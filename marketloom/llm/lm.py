@@ -72,6 +72,30 @@ def word_counts(training: DataFrame) -> DataFrame:
     return training.select("text").mapInArrow(count, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def most_frequent(counts: DataFrame, most: int) -> list[tuple[str, int]]:
+    """Words with the highest counts, at most ``most``; of those with the lowest count all or none.
+
+    The bound comes from how many words have each count, so no more than these
+    words are sent anywhere.
+    """
+    words = counts.where(F.col("word") != END)
+    sizes = words.groupBy((F.when(F.col("c") > 10_000, F.lit(10_000)).otherwise(F.col("c"))).alias("c")).count()
+    least, held = None, 0
+    for r in sorted(sizes.collect(), reverse=True):  # at most 10,000 rows
+        held += r["count"]
+        if held > most:
+            break
+        least = r["c"]
+    if least is None:
+        return [(r[0], r[1]) for r in words.orderBy(F.col("c").desc(), "word").limit(most).collect()]
+    return sorted(((r[0], r[1]) for r in words.where(F.col("c") >= least).collect()), key=lambda x: (-x[1], x[0]))
+
+
+def scattered(index: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Rows of ``values`` summed by index."""
+    return np.stack([np.bincount(index, column, n) for column in np.ascontiguousarray(values.T)], axis=1)
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -106,13 +130,12 @@ class LogBilinear:
         g_true = 1 - sigmoid(true - log_k - self.log_q[ids])
         g_false = -sigmoid(false - log_k - self.log_q[drawn])
         g_h = g_true[:, None] * self.out[ids] + g_false @ self.out[drawn]
-        grads = [np.zeros_like(p) for p in (self.one, self.two, self.out, self.bias)]
-        np.add.at(grads[0], context1, g_h)
-        np.add.at(grads[1], context2, g_h)
-        np.add.at(grads[2], ids, g_true[:, None] * h)
-        np.add.at(grads[2], drawn, g_false.T @ h)
-        np.add.at(grads[3], ids, g_true)
-        np.add.at(grads[3], drawn, g_false.sum(axis=0))
+        n = len(self.bias)
+        grads = [
+            scattered(context1, g_h, n), scattered(context2, g_h, n),
+            scattered(ids, g_true[:, None] * h, n) + scattered(drawn, g_false.T @ h, n),
+            np.bincount(ids, g_true, n) + np.bincount(drawn, g_false.sum(axis=0), n),
+        ]
         for p, g, s in zip((self.one, self.two, self.out, self.bias), grads, squares, strict=True):
             s += g * g
             p += rate * g / np.sqrt(s + 1e-6)
@@ -191,8 +214,7 @@ def scored(docs: DataFrame, vocabulary: int = VOCABULARY, frequent: int = FREQUE
     training = docs.where(~held_out())
     counts = materialize(word_counts(training), "word-counts")
     total, types = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    ordered = counts.where(F.col("word") != END).orderBy(F.col("c").desc(), "word").limit(frequent)
-    top = [(r[0], r[1]) for r in ordered.collect()]  # at most ``frequent`` words
+    top = most_frequent(counts, frequent)
     end_count = (counts.where(F.col("word") == END).head() or (END, 0))[1]
     known = [*top[:vocabulary - 2], (END, end_count)]
     other_tokens = total - sum(c for _, c in known)
