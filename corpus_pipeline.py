@@ -15,10 +15,14 @@ from marketloom.session import materialize
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and their group's fences."""
-    measured = materialize(quality.measured(docs), "quality-measures")
-    rejected = quality.judged(measured).where("NOT kept").select("doc_id").distinct()
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["doc_id"]), "left_anti")
+    """Documents that pass the base rules and their group's fences.
+
+    Each row is judged by itself, whatever its id: rows without one, or that
+    share one, do not decide for each other.
+    """
+    rows = docs.withColumn("row", F.struct(*docs.columns))
+    measured = materialize(quality.measured(rows, "row"), "quality-measures")
+    return quality.judged(measured).where("kept").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -83,10 +83,11 @@ def measures(text: str = "text") -> Column:
     ))
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """(doc_id, lang, source, measures ..., base_failed); the texts are not kept."""
+def measured(docs: DataFrame, *carried: str) -> DataFrame:
+    """(doc_id, lang, source, carried ..., measures ..., base_failed); texts are kept only where they are carried."""
+    keys = ["doc_id", "lang", "source", *carried]
     return (
-        docs.select("doc_id", "lang", "source", measures().alias("m")).select("doc_id", "lang", "source", "m.*")
+        docs.select(*keys, measures().alias("m")).select(*keys, "m.*")
         .withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                     | (100 * F.col("n_repeat_words") > MAX_REPEATED_PCT * F.col("n_words")))
     )

@@ -43,6 +43,19 @@ def test_stages_do_what_they_say(stages):
     assert {r.doc_id for r in pieces} == set(taken)
 
 
+def test_rows_are_judged_by_themselves(spark, sf_dir, as_documents):
+    def good(k):
+        return " ".join(f"word{k}x{i}" for i in range(80))
+
+    rows = [(None, good(1), "en", "a"), (None, "too short", "en", "a"), (None, good(2), None, None),
+            (7, good(3), "en", "a"), (7, "short too", "en", "a"), (8, good(4), "en", "a"), (9, None, "en", "a")]
+    docs = as_documents(rows)
+    got = pipeline.quality_rules(spark, docs, sf_dir)
+    assert got.columns == docs.columns
+    assert sorted(t for _, t in texts(got)) == sorted(good(k) for k in (1, 2, 3, 4))
+    assert [r.row for r in got.collect()] == ["x"] * 4
+
+
 def test_queries_are_registered_in_the_entry():
     names = entry.queries()
     assert {f"op{n}_" for n in range(1, 11)} <= {n.split("_")[0] + "_" for n in names} and "pipeline" in names
