@@ -517,9 +517,8 @@ def star_topn(spark, sf_dir):
 @register("star_dim_head", q.with_ctes(_MARKETS_SQL, """
 SELECT market_key, pair_id, ticker_id, asset_name FROM old_markets ORDER BY market_key LIMIT 10"""))
 def star_dim_head(spark, sf_dir):
-    """The first ten markets by key."""
-    dim = star.new_markets(_before(_markets(spark, sf_dir), MARKET_CUTOFF), _empty_markets(spark))
-    return star.dim_market_head(dim, 10)
+    """The first ten markets by key of the dimension that both loads fill."""
+    return star.dim_market_head(dim_market(spark, sf_dir), 10)
 
 
 _COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")

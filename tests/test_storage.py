@@ -16,6 +16,7 @@ from marketloom.operators.ranking import dense_rank_desc, with_row_index
 from marketloom.operators.state import MarkStore
 from marketloom.operators.upsert import upsert
 from marketloom.plans import star
+from marketloom.registry import snapshot as registered
 from marketloom.session import release_work, shared_dir
 from marketloom.sinks.bronze import bronze_path, json_ready, write_bronze, write_bronze_parquet, write_many
 from marketloom.sinks.lake import write_snapshot
@@ -302,6 +303,15 @@ def gold(spark, rows):
 NOON = datetime(2026, 8, 26, 12, tzinfo=UTC)
 
 
+def test_dim_head_counts_markets_of_both_loads(spark, tmp_path):
+    lines = [(k, "F", datetime(1997, 1, 1)) for k in (30, 40)] + [(k, "O", datetime(1998, 6, 1)) for k in (40, 10, 20)]
+    spark.createDataFrame(lines, "l_partkey long, l_linestatus string, l_shipdate timestamp_ntz").write.parquet(
+        str(tmp_path / "lineitem.parquet"))
+    head = registered.star_dim_head(spark, str(tmp_path)).collect()
+    assert [(r.market_key, r.pair_id, r.asset_name) for r in head] == [
+        (1, "30", "F"), (2, "40", "F"), (3, "10", "O"), (4, "20", "O")]
+
+
 def test_star_load_is_idempotent(spark, tmp_path):
     store = TableStore(spark, str(tmp_path), "warehouse")
     g = gold(spark, [("btc", "Bitcoin", NOON), ("eth", "Ether", NOON)])
