@@ -3,7 +3,11 @@
 A file's header is its run of lines that name a licence or a right: lines with
 one of the ``CUES``. Headers, and the whole text of licence files (files named
 like LICENSE or COPYING), become sparse TF-IDF vectors over the terms of the
-templates and are compared with each template by cosine. A licence file decides
+templates and are compared with each template by cosine. What matches none of
+these one-line notices is compared with whole licence texts and the headers of
+source files as well: a licence file as a whole, any other file by its header
+and by each of its lines, without the lines that name a holder of copyright. A
+licence found so goes before a reservation of rights. A licence file decides
 for its folder; a file without a licence of its own inherits that of its nearest
 ancestor folder that has one, found by a join on the path's ancestors.
 
@@ -15,6 +19,9 @@ rows get equal results; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +46,32 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "Proprietary": "All rights reserved.",
 }
+#: Whole licences, one file each, named by the licence.
+TEXTS = Path(__file__).with_name("license_texts")
+_GNU = ("This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU {0} as published by\n"
+        "the Free Software Foundation, either version {1} of the License, or\n(at your option) any later version.\n\n"
+        "This program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\n"
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the\nGNU {0} for more details.\n\n"
+        "You should have received a copy of the GNU {0}\nalong with this program. If not, see <https://www.gnu.org/licenses/>.")
+#: Headers that licences ask source files to carry.
+SOURCE_HEADERS = {
+    "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the License);\nyou may not use this file except in compliance "
+                  "with the License.\nYou may obtain a copy of the License at\n\nhttp://www.apache.org/licenses/LICENSE-2.0\n\n"
+                  "Unless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed "
+                  "on an AS IS BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\n"
+                  "See the License for the specific language governing permissions and\nlimitations under the License.",
+    "GPL-2.0": _GNU.format("General Public License", "2"),
+    "GPL-3.0": _GNU.format("General Public License", "3"),
+    "LGPL-2.1": _GNU.format("Lesser General Public License", "2.1"),
+    "LGPL-3.0": _GNU.format("Lesser General Public License", "3"),
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not "
+               "distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.",
+}
+#: Between a template's name and its form.
+FORM = "/"
+#: Reserves rights and grants none.
+NO_GRANT = "Proprietary"
+HOLDER = r"^[^a-z]*copyright\s*(\(c\)|©|[0-9])"
 CUES = r"licen[sc]e|all rights reserved|redistribution|permission is hereby granted|copyright"
 LICENSE_FILE = r"(^|/)(licen[sc]e|copying|notice)[^/]*$"
 MIN_COSINE = 0.6
@@ -61,6 +94,32 @@ def header(text: Column) -> Column:
     return F.array_join(lines, "\n")
 
 
+def whole_templates() -> dict[str, str]:
+    """Name and form of each notice, source header, whole text and what ``header`` leaves of the longer ones."""
+    cue = re.compile(CUES)
+    longer = {f"{k}{FORM}source": v for k, v in SOURCE_HEADERS.items()}
+    longer |= {f"{p.stem}{FORM}text": p.read_text(encoding="utf-8") for p in TEXTS.glob("*.txt")}
+    cues = {f"{k}-cues": "\n".join(x for x in v.lower().split("\n") if cue.search(x)) for k, v in longer.items()}
+    return {**TEMPLATES, **longer, **cues}
+
+
+def notices(rest: DataFrame) -> DataFrame:
+    """(fid, header) with one row per notice to compare; ``fid`` is the file's and the notice's number."""
+    lines = F.filter(F.split("header", "\n"), lambda x: ~x.rlike(HOLDER))
+    whole = F.array(F.array_join(lines, "\n"))
+    return rest.select("fid", F.posexplode(F.when(F.col("is_license"), whole).otherwise(F.concat(whole, lines)))).select(
+        F.struct("fid", "pos").alias("fid"), F.col("col").alias("header"))
+
+
+def whole_matches(rest: DataFrame, min_cosine: float) -> DataFrame:
+    """(fid, whole, whole_cosine): the best licence of a file's notices."""
+    found = matches(notices(rest), whole_templates(), min_cosine).select(
+        "fid.fid", F.substring_index("template", FORM, 1).alias("whole"), F.col("cosine").alias("whole_cosine"))
+    order = F.struct((F.col("whole") == NO_GRANT).alias("no_grant"), (-F.col("whole_cosine")).alias("o"), "whole")
+    return found.groupBy("fid").agg(F.min(order).alias("best")).select(
+        "fid", F.col("best.whole").alias("whole"), (-F.col("best.o")).alias("whole_cosine"))
+
+
 def template_vectors(spark, templates: dict[str, str]) -> DataFrame:
     """(template, term, weight): unit TF-IDF vectors, idf over the templates."""
     rows = F.array(*[F.struct(F.lit(k).alias("template"), F.lit(v).alias("text")) for k, v in sorted(templates.items())])
@@ -120,8 +179,13 @@ def scanned(files: DataFrame, templates: dict[str, str] = TEMPLATES, min_cosine:
     is_license = F.coalesce(lowered(F.col("path")).rlike(LICENSE_FILE), F.lit(False))
     read = materialize(files.select("fid", "path", is_license.alias("is_license"), F.when(
         is_license, lowered(F.coalesce("text", F.lit("")))).otherwise(header(F.col("text"))).alias("header")), "license-headers")
-    own = materialize(read.join(matches(read, templates, min_cosine), "fid", "left").select(
-        "fid", "path", "is_license", "template", "cosine"), "license-matches")
+    first = materialize(read.join(matches(read, templates, min_cosine), "fid", "left").select(
+        "fid", "path", "is_license", "template", "cosine",
+        F.when(F.col("template").isNull(), F.col("header")).alias("header")), "license-notices")
+    whole = whole_matches(first.where("header <> ''"), min_cosine)
+    own = materialize(first.join(whole, "fid", "left").select(
+        "fid", "path", "is_license", F.coalesce("template", "whole").alias("template"),
+        F.coalesce("cosine", "whole_cosine").alias("cosine")), "license-matches")
     licensed = own.where("is_license AND template IS NOT NULL").groupBy(folder(F.col("path")).alias("folder")).agg(
         F.min(F.struct("path", "template")).alias("l")).select("folder", F.col("l.template").alias("folder_template"))
     # Folders are few next to files: ancestors are resolved per folder, then joined back.

@@ -262,3 +262,22 @@ def test_licences_are_found_and_inherited(spark):
         6: (None, None), 7: ("GPL-3.0", "own"), 8: (None, None), 9: ("GPL-3.0", "inherited"), 10: (None, None),
         11: ("GPL-3.0", "inherited"),
     }
+
+
+def test_whole_licences_and_source_headers_are_found(spark):
+    holder = "Copyright (c) 2020 Jane Doe and others. All rights reserved."
+    texts = {p.stem: p.read_text() for p in licenses.TEXTS.glob("*.txt")}
+    mit = " ".join(texts["MIT"].replace("<year> <copyright holders>", "2020 Jane Doe").split())
+    gpl = "".join(f"# {x}\n" for x in [holder, *licenses.SOURCE_HEADERS["GPL-3.0"].split("\n")])
+    pasted = "".join(f" * {x}\n" for x in texts["MIT"].replace("<year> <copyright holders>", "2020 Jane Doe").split("\n"))
+    files = [
+        *((i, f"{k}/LICENSE", t) for i, (k, t) in enumerate(sorted(texts.items()))), (20, "m/LICENSE", mit), (21, "m/x.py", "print()"),
+        (22, "s/gpl.py", gpl + "import os\n"), (23, "s/mit.c", f"/*\n{pasted}*/\nint x;"),
+        (24, "s/two.py", f"{holder}\n{licenses.TEMPLATES['MIT']}\nx = 1"), (25, "s/none.py", "see the license file for a copy"),
+    ]
+    got = {r.fid: (r.license, r.origin) for r in licenses.scanned(
+        spark.createDataFrame(files, "fid long, path string, text string")).collect()}
+    # A whole text that one of the short notices already fits keeps that notice's name.
+    assert {k: got[i][0].removesuffix("-long") for i, k in enumerate(sorted(texts))} == {k: k for k in texts}
+    assert {i: got[i] for i in range(20, 26)} == {
+        20: ("MIT", "own"), 21: ("MIT", "inherited"), 22: ("GPL-3.0", "own"), 23: ("MIT", "own"), 24: ("MIT", "own"), 25: (None, None)}
