@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import chat, embeddings, licenses, lm, minhash, mixing, packing, quality, sqltext, suffixes, urls
+from marketloom.llm import bestfit, chat, embeddings, licenses, lm, minhash, mixing, packing, quality, sqltext, suffixes, urls
 from marketloom.llm.words import table
 from marketloom.session import materialize
 
@@ -111,3 +111,9 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_chat_format")
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rendered(chat.repaired(table(spark, sf_dir, "conversations")))
+
+
+@query("op13_best_fit_packing")
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = bestfit.cut(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+    return bestfit.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+from types import ModuleType
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -46,3 +49,13 @@ def prefix_sums(parts: DataFrame, keys: list[str], part: str, value: str, out: s
         .withColumn(out, F.col("_before") + F.col("_within"))
         .drop("_block", "_before", "_within")
     )
+
+
+def worker_state(name: str) -> dict:
+    """A dict that a Python worker process keeps from task to task.
+
+    Functions travel to the workers as code, so their own globals do not last;
+    this one lives in a module that only the worker knows.
+    """
+    state = sys.modules.setdefault("_marketloom_worker", ModuleType("_marketloom_worker"))
+    return state.__dict__.setdefault(name, {})
