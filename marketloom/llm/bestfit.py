@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -34,53 +35,77 @@ from marketloom.session import materialize
 
 CAPACITY = 2048
 END_ID = 0
-#: Chunks of text whose ids a Python worker keeps; beyond that it starts anew.
-CACHED_CHUNKS = 1_000_000
+#: Chunks of text in one generation of those whose ids a Python worker keeps.
+CACHED_CHUNKS = 600_000
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
 
-class ChunkIds:
+class ChunkIds(dict):
     """Ids of texts under a byte-level BPE, as little-endian 32-bit bytes.
 
     The tokenizer never joins a character that is no space with a space after
-    it, so a text is cut there and the ids of frequent chunks are looked up.
-    Texts with rarer space characters are encoded whole.
+    it, so a text is cut at its spaces and the ids of chunks are looked up:
+    ``self["word"]`` has those of " word", ``self["\nword"]`` those of the line's
+    start, ``self["\rword"]`` those of "word" at the start of a text. Of two
+    generations of known chunks the older goes when the younger is full, so
+    frequent ones stay. A new chunk that is a word with marks after it goes
+    straight to the tokenizer's model; others, and texts with long or rare
+    white space or special tokens, go through the whole tokenizer.
     """
 
-    CHUNK = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+$")
-    RARE_SPACE = re.compile(r"[^\S \n\t\r]")
-    ENDS = frozenset(".,;:!?")
+    RARE_SPACE = re.compile(r"[^\S \n]")
+    LONG_SPACE = ("   ", "  \n", " \n ", " \n\n", "\n  ", "\n \n", "\n\n ", "\n\n\n")
+    SPACE_END = ("  ", " \n", "\n ", "\n\n")
+    WORD = re.compile(r"(\n?)( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
 
     def __init__(self, tokenizer_path: str, cached: int) -> None:
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.cached = cached
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in out]
-
-    def learn(self, chunks: set[str]) -> None:
-        # A letter and the mark after it are never one token either.
-        marked = [c for c in chunks if c[-1] in self.ENDS and c[-2:-1].isalpha()]
-        plain = chunks.difference(marked)
-        plain.update(c[:-1] for c in marked)
-        plain.update(c[-1] for c in marked)
-        plain = [c for c in plain if c not in self.known]
-        self.known.update(zip(plain, self.encode(plain), strict=True))
-        for c in marked:
-            self.known[c] = self.known[c[:-1]] + self.known[c[-1]]
-
-    def of(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > self.cached:
-            self.known.clear()
-        split = [None if self.RARE_SPACE.search(t) else self.CHUNK.findall(t) for t in texts]
-        self.learn({c for chunks in split if chunks for c in chunks if c not in self.known})
-        get = self.known.__getitem__
-        return [self.encode([t])[0] if chunks is None else b"".join(map(get, chunks))
-                for t, chunks in zip(texts, split, strict=True)]
+        self.older: dict[str, bytes] = {}
+        # The model's alphabet: printable Latin-1 as it is, other bytes from 256 on.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in plain]
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.alphabet = {b: b for b in plain} | {b: 256 + i for i, b in enumerate(others)}
+        self.space = chr(self.alphabet[ord(" ")])
+        self.tokenize = self.tokenizer.model.tokenize
+
+    def encode(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return pack_ids(f"<{len(ids)}I", *ids)
+
+    def word(self, word: str) -> bytes:
+        """Ids of what the tokenizer takes as one word."""
+        if word.isascii():  # letters, which are themselves in the alphabet, after a space at most
+            letters = word.replace(" ", self.space)
+        else:
+            letters = word.encode().decode("latin-1").translate(self.alphabet)
+        ids = [t.id for t in self.tokenize(letters)]
+        return pack_ids(f"<{len(ids)}I", *ids)
+
+    def __missing__(self, chunk: str) -> bytes:
+        if (ids := self.older.get(chunk)) is None:
+            text = chunk[1:] if chunk[:1] == "\r" else chunk if chunk[:1] == "\n" else f" {chunk}"
+            if parts := self.WORD.fullmatch(text):
+                line, word, marks = parts.groups()
+                ids = (self["\n"] if line else b"") + self.word(word) + (self[f"\r{marks}"] if marks else b"")
+            else:
+                ids = self.encode(text)
+        self[chunk] = ids
+        return ids
+
+    def of(self, text: str) -> bytes:
+        if len(self) > self.cached:
+            self.older = dict(self)
+            self.clear()
+        if (text.endswith(self.SPACE_END) or any(s in text for s in self.LONG_SPACE)
+                or any(s in text for s in self.special) or self.RARE_SPACE.search(text)):
+            return self.encode(text)
+        first, *rest = text.replace("\n", " \n").split(" ")
+        return (self[f"\r{first}"] if first else b"") + b"".join(map(self.__getitem__, rest))
 
 
 def worker_ids(tokenizer_path: str, cached: int) -> ChunkIds:
@@ -101,9 +126,8 @@ def cut(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
         for whole in batches:
             for batch in (whole.slice(s, 256) for s in range(0, whole.num_rows, 256)):
                 rows: list[tuple] = []
-                texts = [t or "" for t in batch["text"].to_pylist()]
-                for doc, ids in zip(batch["doc_id"].to_pylist(), ids_of.of(texts), strict=True):
-                    raw = ids + end
+                for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
+                    raw = ids_of.of(text or "") + end
                     n = len(raw) // 4
                     edges = [0, *range(n % capacity or capacity, n + 1, capacity)]
                     for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
