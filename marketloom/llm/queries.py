@@ -2,13 +2,29 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import bestfit, chat, embeddings, licenses, lm, minhash, mixing, packing, quality, sqltext, suffixes, urls
-from marketloom.llm.words import table
+from marketloom.llm import (
+    bestfit,
+    chat,
+    embeddings,
+    licenses,
+    lm,
+    minhash,
+    mixing,
+    packing,
+    periodic,
+    quality,
+    sqltext,
+    suffixes,
+    urls,
+    variants,
+)
+from marketloom.llm.words import WORD, table
 from marketloom.session import materialize
 
 TOKENIZER = "word_bpe_49k.json"
@@ -117,3 +133,42 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = bestfit.cut(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
     return bestfit.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
+def with_typo(doc_id: str, word: str) -> str:
+    """One occurrence in 31, by document and word, loses a letter."""
+    h = zlib.crc32(f"{doc_id}:{word}".encode())
+    at = h % len(word)
+    return word[:at] + word[at + 1:] if h % 31 == 0 else word
+
+
+@query("op11_spelling_variants")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.grouped(variants.counted(table(spark, sf_dir, "documents"), change=with_typo))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """One document in ten, by its id, goes on from some word with a stretch of its words over and over."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    n, g = F.greatest(F.size(words), F.lit(1)), F.expr("_h div 10")
+    start = (g % n).cast("int")
+    period = F.lit(1) + F.floor((n - start) / (3 + g % 8)).cast("int")
+    times = F.ceil((n - start) / period).cast("int")
+    again = F.slice(F.flatten(F.array_repeat(F.slice(words, start + 1, period), times)), F.lit(1), n - start)
+    changed = F.array_join(F.concat(F.slice(words, F.lit(1), start), again), " ")
+    return docs.withColumn("_h", h).select(
+        "doc_id", F.when((F.col("_h") % 10 == 0) & (F.size(words) > 0), changed).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.collapsed(with_periods(table(spark, sf_dir, "documents")))
+    best = F.aggregate(
+        "runs", F.lit(None).cast(periodic.RUN),
+        lambda a, r: F.when(a.isNull() | (r["length"] * a["period"] > a["length"] * r["period"]), r).otherwise(a))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
