@@ -31,6 +31,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketloom.llm.words import worker_state
 from marketloom.session import materialize
 
 LEAST, TIMES = 24, 3
@@ -70,46 +71,55 @@ def octaves(n: int, least: int, times: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def window_hashes(codes: np.ndarray, size: int, powers: tuple[np.ndarray, np.ndarray], sums: np.ndarray) -> np.ndarray:
-    """Hash of each stretch of ``size`` words, wherever it stands."""
-    n = len(codes) - size + 1
-    return (sums[size:] - sums[:n]) * powers[1][:n]
+def powers(n: int, kept: dict) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the factor and of its inverse; ``kept`` holds the longest so far."""
+    if n > kept.get("n", -1):
+        kept["n"] = size = max(n, 4096)
+        for name, f in (("up", FACTOR), ("down", pow(FACTOR, -1, 1 << 64))):
+            kept[name] = np.cumprod(np.concatenate(([np.uint64(1)], np.full(size, np.uint64(f)))))
+    return kept["up"][:n], kept["down"][:n]
 
 
-def live_tiles(codes: np.ndarray, least: int = LEAST, times: int = TIMES) -> Iterator[
-        tuple[int, int, int, np.ndarray]]:
+def live_tiles(codes: np.ndarray, least: int = LEAST, times: int = TIMES,
+               kept: dict | None = None) -> Iterator[tuple[int, int, int, np.ndarray]]:
     """(block, first word, place of the boundary, words) of each tile in which a block comes again."""
     n = len(codes)
     levels = octaves(n, least, times)
     if not levels:
         return
     with np.errstate(over="ignore"):
-        powers = tuple(np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, np.uint64(f))))) for f in (
-            FACTOR, pow(FACTOR, -1, 1 << 64)))
+        up, down = powers(n, {} if kept is None else kept)
         mixed = (codes.astype(np.uint64) + np.uint64(1)) * np.uint64(0xFF51AFD7ED558CCD)
         mixed ^= mixed >> np.uint64(32)
-        sums = np.concatenate(([np.uint64(0)], np.cumsum(mixed * powers[0][:n])))
+        sums = np.concatenate(([np.uint64(0)], np.cumsum(mixed * up)))
         for block, low, high in levels:
-            hashes = window_hashes(codes, block, powers, sums)
+            # Hash of each stretch of a block's size, wherever it stands.
+            hashes = (sums[block:] - sums[:n - block + 1]) * down[:n - block + 1]
+            if low == 1:
+                # Blocks of all octaves begin with one of this size: where none of these comes again, none does.
+                ordered = np.sort(hashes)
+                if not (ordered[1:] == ordered[:-1]).any():
+                    return
             starts = np.arange(0, len(hashes) - low, block)
             # Rows of the hashes a boundary's block is compared with; those beyond the end are other than any.
             ahead = np.concatenate((hashes[low:], np.zeros(high, np.uint64)))
             views = sliding_window_view(ahead, high - low + 1)[starts]
             same = views == hashes[starts][:, None]
+            if not same.any():
+                continue
             same &= starts[:, None] + np.arange(low, high + 1) < len(hashes)
             for b in starts[same.any(axis=1)].tolist():
                 begin = max(0, b - block)
                 yield block, begin, b - begin, codes[begin:b + 2 * block + high]
 
 
-def z_function(text: list[int]) -> list[int]:
-    """Length of the longest common prefix of the text with each of its suffixes."""
+def z_function(text: list[int], upto: int) -> list[int]:
+    """Length of the longest common prefix of the text with its suffixes that start before ``upto``."""
     n = len(text)
-    z = [0] * n
-    if n:
-        z[0] = n
+    upto = min(upto, n)
+    z = [0] * upto
     left = right = 0
-    for i in range(1, n):
+    for i in range(1, upto):
         k = min(right - i, z[i - left]) if i < right else 0
         while i + k < n and text[k] == text[i + k]:
             k += 1
@@ -125,16 +135,16 @@ def solve(block: int, low: int, centre: int, words: list[int], lowest: int) -> I
     Counted from the document's start; at most one block before the boundary
     and two after it.
     """
-    after = z_function(words[centre:])
-    smallest = 1 if block == lowest else block
-    periods = [q for q in range(smallest, min(2 * block, len(after))) if after[q] >= block]
+    after = z_function(words[centre:], 2 * block)
+    periods = [q for q in range(1 if block == lowest else block, len(after)) if after[q] >= block]
     if not periods:
         return
     # Before the boundary: agreement read backwards, from b - 1 and from b + q - 1.
     back, reach = words[:centre][::-1], centre + periods[-1]
-    before = z_function([*back, -1, *words[:reach][::-1]])
+    start = len(back) + 1 + reach - centre  # where the text before the boundary begins, read backwards
+    before = z_function([*back, -1, *words[:reach][::-1]], start - periods[0] + 1) if back else []
     for q in periods:
-        left = min(before[len(back) + 1 + reach - centre - q], block) if back else 0
+        left = min(before[start - q], block) if back else 0
         yield q, low + centre - left, low + centre + min(after[q], 2 * block)
 
 
@@ -147,10 +157,11 @@ def tiled(docs: DataFrame, least: int = LEAST, times: int = TIMES) -> DataFrame:
         for whole in batches:
             for batch in (whole.slice(s, 512) for s in range(0, whole.num_rows, 512)):
                 rows = []
+                kept = worker_state("periodic-powers")
                 for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
                     words = words_of(text)
                     tiles = [{"block": block, "low": low, "centre": centre, "words": part.astype("<i4").tobytes()}
-                             for block, low, centre, part in live_tiles(coded(words), least, times)]
+                             for block, low, centre, part in live_tiles(coded(words), least, times, kept)]
                     if tiles:
                         rows.append((doc, b" ".join(words).decode(), tiles))
                 columns = list(zip(*rows, strict=True)) or [(), (), ()]
@@ -167,9 +178,10 @@ def untiled(docs: DataFrame, least: int = LEAST, times: int = TIMES) -> DataFram
         for whole in batches:
             for batch in (whole.slice(s, 512) for s in range(0, whole.num_rows, 512)):
                 ids, texts = [], []
+                kept = worker_state("periodic-powers")
                 for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
                     words = words_of(text)
-                    if next(live_tiles(coded(words), least, times), None) is None:
+                    if next(live_tiles(coded(words), least, times, kept), None) is None:
                         ids.append(doc)
                         texts.append(b" ".join(words).decode())
                 yield pa.RecordBatch.from_arrays(
