@@ -166,15 +166,23 @@ def file_captured_at(path: ColumnLike) -> Column:
     return F.to_timestamp(stamp, "yyyyMMdd'T'HHmmssX")
 
 
-def order_key(at: ColumnLike, tie: ColumnLike | None = None) -> Column:
+def order_key(at: ColumnLike, tie: ColumnLike | None = None, whole: bool = False) -> Column:
     """Sort key of an instant, optionally with a tie-break column.
 
-    Without a tie-break the key is one bigint and ``min_by``/``max_by`` over it
-    run as a hash aggregation. With one it is a struct, which makes the result
-    repeatable for equal instants at the price of a sort-based aggregation.
+    Without a tie-break the key is one bigint, with a whole-number tie-break
+    (``whole=True``) one decimal that holds both: a microsecond is worth more
+    than all 64-bit numbers. ``min_by``/``max_by`` over either run as a hash
+    aggregation. Any other tie-break makes it a struct, which needs a sort-based
+    one. A missing instant or tie-break sorts first.
     """
     micros = F.unix_micros(col(at).cast("timestamp"))
-    return micros if tie is None else F.struct(micros.alias("at"), col(tie).alias("tie"))
+    if tie is None:
+        return micros
+    if not whole:
+        return F.struct(micros.alias("at"), col(tie).alias("tie"))
+    instant = F.coalesce(micros.cast("decimal(18,0)"), F.lit(-(10**18 - 1)).cast("decimal(18,0)"))
+    rank = F.coalesce(col(tie).cast("decimal(20,0)") + F.lit(str(2**63 + 1)).cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
+    return (instant * F.lit(str(10**20)).cast("decimal(21,0)") + rank).cast("decimal(38,0)")
 
 
 def utc(value: datetime) -> datetime:

@@ -9,11 +9,12 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketloom.jobs.increments import load_slice
 from marketloom.operators.upsert import upsert
 from marketloom.plans import daily, marts, staging
 from marketloom.quality import rules, suites
 from marketloom.session import fit_shuffle, materialize
-from marketloom.sinks.tables import route_schema
+from marketloom.sinks.tables import mart_path
 
 
 def stage_all(bronze: Mapping[str, DataFrame], now: datetime | None = None) -> dict[str, DataFrame]:
@@ -37,21 +38,20 @@ def intermediate(staged: Mapping[str, DataFrame], unique_orders: bool = False) -
     }
 
 
-def mart_path(root: str, mart: str, schema: str | None = "marts") -> str:
-    return f"{root.rstrip('/')}/{route_schema(schema, 'main')}/{mart}"
-
-
 def read_mart(spark: SparkSession, root: str, mart: str) -> DataFrame:
     """All rows of a mart, for a downstream load."""
     return spark.read.parquet(mart_path(root, mart))
 
 
 def run_daily(spark: SparkSession, bronze: Mapping[str, DataFrame], root: str,
-              now: datetime | None = None, check: bool = True) -> dict[str, list]:
+              now: datetime | None = None, check: bool = True, batch: int | None = None) -> dict[str, list]:
     """Build and upsert the four marts; returns the touched dates per mart.
 
     The business mart is built from the merged marts, so it sees their history.
-    With ``check`` the run stops at the first layer that breaks a rule.
+    With ``check`` the run stops at the first layer that breaks a rule. With a
+    ``batch`` number the tables are a slice of rows that no other number has
+    brought: it is added to what earlier slices left, and only the dates that it
+    changes are made anew. The staging rules then hold within the slice.
     """
     at = now or datetime.now(timezone.utc)
     stamp = F.lit(at).cast("timestamp")
@@ -59,6 +59,8 @@ def run_daily(spark: SparkSession, bronze: Mapping[str, DataFrame], root: str,
     staged = stage_all(bronze, at)
     if check:
         rules.require(rules.run_rules(staged, suites.model_rules()))
+    if batch is not None:
+        return load_slice(spark, root, staged, batch, at)
     # The staging rules include the uniqueness of order ids.
     models = intermediate(staged, unique_orders=check)
     # The aggregates are small and used by checks and marts: compute them once.

@@ -2,42 +2,63 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketloom.operators.dateindex import DateIndex
+from marketloom.operators.partials import Mergeable, PartialStore
 from marketloom.operators.upsert import upsert
 from marketloom.plans import daily, marts
-from marketloom.streaming.incremental import rows_on, store_batch
+from marketloom.session import materialize
+from marketloom.sinks.tables import mart_path
+from marketloom.storage import read_partitions
 
 
-def refresh_market_mart(spark: SparkSession, model_path: str, mart_path: str, touched: list) -> None:
-    """Rewrite the mart's rows of touched dates and, per symbol, of the next date with data.
+def market_model(tie_break: Column | str | None = None) -> Mergeable:
+    return Mergeable(lambda ticks: daily.market_states(ticks, tie_break), daily.merge_market, daily.finish_market)
+
+
+def refresh_market_mart(spark: SparkSession, root: str, rows: DataFrame, now: Column | None = None) -> list:
+    """Bring the mart up to date with new rows of the stored daily market; returns the dates it rewrote.
 
     The change of a day rests on the close of the symbol's previous day, so a
-    late day also alters the one after it. The stored model has one row per date
-    and symbol; only affected rows are upserted.
+    late day also alters the one after it. An index of each symbol's dates names
+    both neighbours, and only the partitions of touched dates and of these are
+    read, however long the history is.
     """
-    model = spark.read.parquet(model_path)
-    by_date = Window.partitionBy("symbol").orderBy("date")
-    in_touched = lambda c: F.col(c).isin([d for d in touched if d is not None])
-    affected = (
-        model.select("date", "symbol", F.lag("date").over(by_date).alias("_before"))
-        .where(in_touched("date") | in_touched("_before")).select("date", "symbol")
+    index = DateIndex(spark, f"{root}/state/market_dates", rows.schema["symbol"].dataType.simpleString())
+    keys = rows.select("date", "symbol")
+    index.add(keys)
+    near = index.neighbours(keys)
+    affected = materialize(
+        near.select("date", "symbol", "previous")
+        .union(near.where("next IS NOT NULL").select("next", "symbol", "date")).distinct(), "affected-days")
+    dates = [r[0] for r in affected.select(F.explode(F.array("date", "previous"))).distinct().collect()]
+    model = read_partitions(spark, f"{root}/daily_market", rows.schema, "date", dates)
+    close = model.select(F.col("date").alias("_day"), F.col("symbol").alias("_s"), F.col("close_price").alias("_previous"))
+    own = affected.select(F.col("date").alias("_d"), F.col("symbol").alias("_k"), "previous")
+    found = (
+        model.join(own, F.col("date").eqNullSafe(F.col("_d")) & F.col("symbol").eqNullSafe(F.col("_k")))
+        .join(close, (F.col("previous") == F.col("_day")) & F.col("symbol").eqNullSafe(F.col("_s")), "left")
     )
-    rows = marts.market_daily(model).join(affected, ["date", "symbol"], "left_semi")
-    upsert(spark, mart_path, rows, marts.GRAIN["market_daily"])
+    return upsert(spark, mart_path(root, "market_daily"), marts.market_daily_against(found, now),
+                  marts.GRAIN["market_daily"], unique=True)
 
 
 def load_quotes(spark: SparkSession, root: str, quotes: DataFrame, batch: int,
-                tie_break: Column | str | None = None) -> list:
-    """Add a slice of staged quotes; returns the dates that it touched.
+                tie_break: Column | str | None = None, now: Column | None = None) -> list:
+    """Add a slice of staged quotes; returns the dates whose mart rows were rewritten.
 
     The dates come from the slice's own rows, so quotes that arrive late for an
-    old date are counted. A slice loaded again under its number replaces itself.
+    old date are counted. Each quote is read once: what is stored is the slice's
+    states per date and symbol, and a day is made from the states of its slices.
+    A slice loaded again under its number replaces itself, and finishes what a
+    failure has left undone.
     """
-    dates = store_batch(quotes, batch, f"{root}/ticks", "captured_at")
-    if dates:
-        ticks = rows_on(spark, f"{root}/ticks", quotes.schema, dates)
-        upsert(spark, f"{root}/daily_market", daily.daily_market(ticks, tie_break), marts.GRAIN["market_daily"])
-        refresh_market_mart(spark, f"{root}/daily_market", f"{root}/market_daily", dates)
-    return dates
+    store = PartialStore(spark, f"{root}/state/market", market_model(tie_break))
+    dates = store.add(quotes, batch)
+    if not dates:
+        return []
+    rows = materialize(store.current(dates), "daily-market")
+    upsert(spark, f"{root}/daily_market", rows, marts.GRAIN["market_daily"], unique=True)
+    return refresh_market_mart(spark, root, rows, now)

@@ -24,17 +24,18 @@ def merge_rows(existing: DataFrame, updates: DataFrame, keys: Sequence[str]) ->
 
 
 def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str],
-           date_column: str = "date") -> list[date | None]:
+           date_column: str = "date", unique: bool = False) -> list[date | None]:
     """Merge ``updates`` into the table at ``path``; returns the touched dates.
 
     ``keys`` include the date, so only partitions of touched dates are read and
     rewritten; their list has one entry per calendar day. The updates, which
     are usually the result of a long aggregation, are computed once; a key found
-    twice among them is an error. All partitions are committed by one job, with rows sorted by
+    twice among them is an error, unless ``unique`` states that they come from a
+    grouping by the key, which saves looking for one. All partitions are committed by one job, with rows sorted by
     the remaining keys so that file statistics prune on them.
     """
     updates = materialize(updates, "upsert")
-    twice = updates.groupBy(*keys).count().where("count > 1").head()
+    twice = None if unique else updates.groupBy(*keys).count().where("count > 1").head()
     if twice:
         raise ValueError(f"key occurs {twice['count']} times in the updates: {twice.asDict()}")
     touched = [r[0] for r in updates.select(date_column).distinct().collect()]

@@ -4,73 +4,81 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from marketloom.functions import as_date, order_key
 
 
-def daily_market(ticks: DataFrame, tie_break: Column | str | None = None,
-                 symbol: Column | str = "pair_id") -> DataFrame:
-    """Open, high, low, close and volumes per date and symbol.
+def _at(ticks: DataFrame, tie_break: Column | str | None) -> Column:
+    """Order of the ticks; one fixed-width number if the tie-break is a whole number or absent."""
+    if tie_break is None:
+        return order_key("captured_at")
+    tie = ticks.select(tie_break).schema[0].dataType
+    return order_key("captured_at", tie_break, whole=isinstance(tie, IntegralType))
+
 
-    Open and close are the last prices of the first and the last tick. One
-    aggregation with map-side partials instead of two ranking windows: a symbol
-    holding most of the ticks shrinks to one row per map task before the
-    exchange. ``tie_break`` orders ticks captured at the same instant.
+def market_states(ticks: DataFrame, tie_break: Column | str | None = None,
+                  symbol: Column | str = "pair_id") -> DataFrame:
+    """First and last price with their place in time, extremes and sums per date and symbol.
+
+    States of parts of the ticks merge to the state of all of them. One hash
+    aggregation with map-side partials: ticks are neither sorted nor shipped,
+    and a symbol holding most of them shrinks to one row per map task. Only a
+    tie-break that is no whole number needs a sort before the exchange.
     """
-    at = order_key("captured_at", tie_break)
     symbol = F.col(symbol) if isinstance(symbol, str) else symbol
     return (
         ticks.select(
-            as_date("captured_at").alias("date"), symbol.alias("symbol"), at.alias("_at"),
+            as_date("captured_at").alias("date"), symbol.alias("symbol"), _at(ticks, tie_break).alias("_at"),
             "last_price", "high_price", "low_price", "volume_idr", "volume_asset",
         )
         .groupBy("date", "symbol")
         .agg(
-            F.min_by("last_price", "_at").alias("open_price"),
-            F.max("high_price").alias("high_price"),
-            F.min("low_price").alias("low_price"),
-            F.max_by("last_price", "_at").alias("close_price"),
-            F.sum("volume_idr").alias("volume_idr"),
-            F.sum("volume_asset").alias("volume_asset"),
+            F.min("_at").alias("first_at"), F.min_by("last_price", "_at").alias("open_price"),
+            F.max("_at").alias("last_at"), F.max_by("last_price", "_at").alias("close_price"),
+            F.max("high_price").alias("high_price"), F.min("low_price").alias("low_price"),
+            F.sum("volume_idr").alias("volume_idr"), F.sum("volume_asset").alias("volume_asset"),
         )
     )
 
 
+def merge_market(states: DataFrame) -> DataFrame:
+    """One state per date and symbol from any number of them."""
+    return states.groupBy("date", "symbol").agg(
+        F.min("first_at").alias("first_at"), F.min_by("open_price", "first_at").alias("open_price"),
+        F.max("last_at").alias("last_at"), F.max_by("close_price", "last_at").alias("close_price"),
+        F.max("high_price").alias("high_price"), F.min("low_price").alias("low_price"),
+        F.sum("volume_idr").alias("volume_idr"), F.sum("volume_asset").alias("volume_asset"),
+    )
+
+
+def finish_market(states: DataFrame) -> DataFrame:
+    """The daily market rows of merged states."""
+    return states.select("date", "symbol", "open_price", "high_price", "low_price", "close_price",
+                         "volume_idr", "volume_asset")
+
+
+def daily_market(ticks: DataFrame, tie_break: Column | str | None = None,
+                 symbol: Column | str = "pair_id") -> DataFrame:
+    """Open, high, low, close and volumes per date and symbol.
+
+    Open and close are the last prices of the first and the last tick;
+    ``tie_break`` orders ticks captured at the same instant.
+    """
+    return finish_market(market_states(ticks, tie_break, symbol))
+
+
 def daily_market_by_currency(ticks: DataFrame, pairs: DataFrame,
                              tie_break: Column | str | None = None) -> DataFrame:
     """Daily market at the grain of the pair's base currency.
 
-    Ticks are first reduced to one row per date and pair; only those rows meet
-    the pairs and are merged again, so the join never sees raw ticks.
+    Ticks are first reduced to one state per date and pair; only those meet the
+    pairs and are merged again, so the join never sees raw ticks.
     """
-    at = order_key("captured_at", tie_break)
-    per_pair = (
-        ticks.select(
-            as_date("captured_at").alias("date"), "pair_id", at.alias("_at"),
-            "last_price", "high_price", "low_price", "volume_idr", "volume_asset",
-        )
-        .groupBy("date", "pair_id")
-        .agg(
-            F.min("_at").alias("_first"), F.max("_at").alias("_last"),
-            F.min_by("last_price", "_at").alias("_open"),
-            F.max_by("last_price", "_at").alias("_close"),
-            F.max("high_price").alias("_high"), F.min("low_price").alias("_low"),
-            F.sum("volume_idr").alias("_idr"), F.sum("volume_asset").alias("_asset"),
-        )
-    )
-    currency = pairs.select("pair_id", F.col("base_currency").alias("symbol"))
-    return (
-        per_pair.join(currency, "pair_id")
-        .groupBy("date", "symbol")
-        .agg(
-            F.min_by("_open", "_first").alias("open_price"),
-            F.max("_high").alias("high_price"),
-            F.min("_low").alias("low_price"),
-            F.max_by("_close", "_last").alias("close_price"),
-            F.sum("_idr").alias("volume_idr"),
-            F.sum("_asset").alias("volume_asset"),
-        )
-    )
+    currency = pairs.select(F.col("pair_id").alias("_pair"), "base_currency")
+    states = market_states(ticks, tie_break)
+    renamed = states.join(currency, states["symbol"] == F.col("_pair")).drop("symbol", "_pair")
+    return finish_market(merge_market(renamed.withColumnRenamed("base_currency", "symbol")))
 
 
 def _order_columns(orders: DataFrame) -> DataFrame:
@@ -122,15 +130,22 @@ def daily_trading(orders: DataFrame, trades: DataFrame, dedup: bool = False,
     ``unique_orders=True`` states that ids were checked to be unique and saves
     that step's exchange.
     """
-    per_order = (
-        trades.groupBy(F.col("order_id").alias("_order_id"))
-        .agg(
-            F.count(F.lit(1)).alias("_trades"),
-            F.count("quantity").alias("_sized"),
-            F.sum("quantity").alias("_traded"),
-        )
-    )
+    return daily_trading_of(orders, trade_sums(trades), dedup, unique_orders)
+
+
+def trade_sums(trades: DataFrame) -> DataFrame:
+    """Trades, trades with a quantity and quantity per order; sums of parts add up."""
+    return trades.groupBy(F.col("order_id").alias("_order_id")).agg(
+        F.count(F.lit(1)).alias("_trades"), F.count("quantity").alias("_sized"), F.sum("quantity").alias("_traded"))
+
+
+def merge_trade_sums(sums: DataFrame) -> DataFrame:
+    return sums.groupBy("_order_id").agg(*[F.sum(c).alias(c) for c in ("_trades", "_sized", "_traded")])
 
+
+def daily_trading_of(orders: DataFrame, per_order: DataFrame, dedup: bool = False,
+                     unique_orders: bool = False) -> DataFrame:
+    """``daily_trading`` from the sums of each order's trades."""
     def side(order_type: str) -> Column:
         return F.when(F.col("order_type") == order_type, F.col("quantity")).otherwise(F.lit(0))
 
@@ -172,19 +187,14 @@ def daily_trading(orders: DataFrame, trades: DataFrame, dedup: bool = False,
     )
 
 
-def user_events_daily(events: DataFrame, date_from: str = "ingested_at") -> DataFrame:
-    """Active users and event counts per date.
-
-    The date is that of ingestion, so late events are never lost to a closed
-    day; pass ``date_from="event_timestamp"`` for the date of the event.
-    """
+def event_states(events: DataFrame, date_from: str = "ingested_at") -> DataFrame:
+    """Event counts per date and user; states of parts of the events merge."""
     kind = F.col("event_type")
     return (
         events.select(as_date(date_from).alias("date"), "user_id", "event_type")
         .where(F.col("date").isNotNull())
-        .groupBy("date")
+        .groupBy("date", "user_id")
         .agg(
-            F.count_distinct("user_id").alias("active_users"),
             F.count_if(kind == "market_view").alias("market_views"),
             F.count_if(kind.isin("order_created", "order_updated")).alias("order_events"),
             F.count_if(kind == "login").alias("login_events"),
@@ -192,6 +202,29 @@ def user_events_daily(events: DataFrame, date_from: str = "ingested_at") -> Data
     )
 
 
+_EVENT_COUNTS = ("market_views", "order_events", "login_events")
+
+
+def merge_events(states: DataFrame) -> DataFrame:
+    """One state per date and user from any number of them."""
+    return states.groupBy("date", "user_id").agg(*[F.sum(c).alias(c) for c in _EVENT_COUNTS])
+
+
+def finish_events(states: DataFrame) -> DataFrame:
+    """The daily rows of merged states: each known user counts once."""
+    return states.groupBy("date").agg(
+        F.count("user_id").alias("active_users"), *[F.sum(c).alias(c) for c in _EVENT_COUNTS])
+
+
+def user_events_daily(events: DataFrame, date_from: str = "ingested_at") -> DataFrame:
+    """Active users and event counts per date.
+
+    The date is that of ingestion, so late events are never lost to a closed
+    day; pass ``date_from="event_timestamp"`` for the date of the event.
+    """
+    return finish_events(event_states(events, date_from))
+
+
 def user_trading_activity(orders: DataFrame, trades: DataFrame, events: DataFrame) -> DataFrame:
     """Orders, trades and events per date and user, zero where a source has none.
 

@@ -32,8 +32,13 @@ def _created(df: DataFrame, now: Column | None) -> DataFrame:
 def market_daily(daily: DataFrame, now: Column | None = None) -> DataFrame:
     """Price performance; the change is against the previous available day."""
     previous = F.lag("close_price").over(_by_date())
+    return market_daily_against(daily.withColumn("_previous", previous), now)
+
+
+def market_daily_against(daily: DataFrame, now: Column | None = None) -> DataFrame:
+    """The mart's rows of daily rows that carry the close before them as ``_previous``."""
     return _created(
-        daily.withColumn("_previous", previous).select(
+        daily.select(
             "date", "symbol", "open_price", "high_price", "low_price", "close_price",
             pct_change("close_price", "_previous").alias("price_change_pct"),
             "volume_idr", "volume_asset",

@@ -75,6 +75,17 @@ def user_events_from(events: DataFrame) -> DataFrame:
     )
 
 
+def event_orders(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Orders and their fills on the events' dates and symbols: each event is an order and its fill."""
+    quantity = F.get_json_object("props", "$.k").cast("decimal(18,8)")
+    placed = events.select(
+        F.col("event_id").alias("order_id"), "user_id", F.col("event_type").alias("pair"),
+        F.lit("buy").alias("order_type"), quantity.alias("quantity"), F.lit("filled").alias("status"),
+        F.col("ts").alias("updated_at"))
+    fills = events.select(F.col("event_id").alias("trade_id"), F.col("event_id").alias("order_id"), quantity.alias("quantity"))
+    return placed, fills
+
+
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     quantity = money("o_totalprice")
     half = (quantity * F.lit("0.5").cast("decimal(2,1)")).cast("decimal(18,8)")

@@ -35,17 +35,19 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
-def read_partitions(spark: SparkSession, path: str, schema: StructType, column: str,
+def read_partitions(spark: SparkSession, path: str, schema: StructType | None, column: str,
                     values: Sequence) -> DataFrame | None:
     """Rows of the named partitions; None where the table holds none of them.
 
-    Only those folders are listed and read, however many the table has.
+    Only those folders are listed and read, however many the table has. Without
+    a schema that of the files is taken.
     """
     names = [f"{column}={NULL_PARTITION if v is None else v}" for v in values]
     paths = [p for p in (f"{path}/{n}" for n in names) if exists(spark, p)]
     if not paths:
         return None
-    return spark.read.schema(schema).option("basePath", path).parquet(*paths)
+    reader = spark.read.option("basePath", path)
+    return (reader.schema(schema) if schema else reader).parquet(*paths)
 
 
 def delete(spark: SparkSession, path: str) -> None:

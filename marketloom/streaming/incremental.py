@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from marketloom.functions import as_date, ingestion_date, ingestion_hour
+from marketloom.functions import ingestion_date, ingestion_hour
+from marketloom.jobs.increments import ACTIVITY
+from marketloom.jobs.quotes import market_model
+from marketloom.operators.partials import Mergeable, PartialStore
 from marketloom.operators.upsert import upsert
-from marketloom.plans import daily, marts
+from marketloom.plans import marts
 from marketloom.sinks.bronze import json_ready
-from marketloom.session import materialize
 from marketloom.sources.landing import dataset_root
-from marketloom.storage import read_partitions
 
 Staging = Callable[[DataFrame], DataFrame]
 
@@ -69,58 +70,37 @@ def stream_to_bronze(stream: DataFrame, root: str, source: str, dataset: str, ch
     return path
 
 
-def store_batch(batch: DataFrame, batch_id: int, path: str, at: str) -> list:
-    """Write one batch by date and return its dates, at most one per calendar day.
-
-    A repeated batch replaces its own partitions only.
-    """
-    dated = materialize(batch.withColumns({"date": as_date(at), "batch": F.lit(batch_id).cast("bigint")}), "batch")
-    (
-        dated.hint("rebalance", "date").write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy("date", "batch").parquet(path)
-    )
-    return [r[0] for r in dated.select("date").distinct().collect()]
-
-
-def rows_on(spark: SparkSession, path: str, schema: StructType, dates: list) -> DataFrame:
-    full = StructType(schema.fields).add("date", "date").add("batch", "long")
-    return read_partitions(spark, path, full, "date", dates).drop("date", "batch")
-
-
 def stream_daily_market(spark: SparkSession, stream: DataFrame, root: str, stage: Staging,
                         tie_break: Column | str | None = None) -> DataFrame:
     """Keep the daily market table current from a stream of quotes.
 
-    Each batch is stored, then the dates it touches are recomputed from all of
-    their stored quotes and upserted. Late quotes just touch an older date, and
-    repeating a batch after a failure cannot count anything twice.
+    A batch is reduced to states per date and symbol, and the dates it touches
+    are merged from the states of all batches and upserted: each quote is read
+    once. Late quotes just touch an older date, and a batch repeated after a
+    failure replaces its own states, so it cannot count anything twice.
     """
-    ticks_path, table_path = f"{root}/ticks", f"{root}/daily_market"
+    return _stream_model(spark, stream, root, stage, market_model(tie_break), "daily_market", ["date", "symbol"])
 
-    def each_batch(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        staged = stage(batch)
-        dates = store_batch(staged, batch_id, ticks_path, "captured_at")
-        if dates:
-            ticks = rows_on(session, ticks_path, staged.schema, dates)
-            upsert(session, table_path, daily.daily_market(ticks, tie_break), ["date", "symbol"])
 
-    run_available(stream, f"{root}/checkpoint", each_batch)
-    return spark.read.parquet(table_path)
+def stream_user_activity(spark: SparkSession, stream: DataFrame, root: str, stage: Staging) -> DataFrame:
+    """Keep the daily user activity mart current from a stream of user events.
 
+    The states hold the counts of each user and date, so a user seen in many
+    batches counts once a day.
+    """
+    model = Mergeable(ACTIVITY.partial, ACTIVITY.merge, lambda s: marts.user_activity_daily(ACTIVITY.finish(s)))
+    return _stream_model(spark, stream, root, stage, model, "user_activity_daily", marts.GRAIN["user_activity_daily"])
 
-def stream_user_activity(spark: SparkSession, stream: DataFrame, root: str, stage: Staging) -> DataFrame:
-    """Keep the daily user activity mart current from a stream of user events."""
-    events_path, table_path = f"{root}/events", f"{root}/user_activity_daily"
+
+def _stream_model(spark: SparkSession, stream: DataFrame, root: str, stage: Staging, model: Mergeable,
+                  table: str, keys: list[str]) -> DataFrame:
+    path = f"{root}/{table}"
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        staged = stage(batch)
-        dates = store_batch(staged, batch_id, events_path, "ingested_at")
+        store = PartialStore(batch.sparkSession, f"{root}/states", model)
+        dates = store.add(stage(batch), batch_id)
         if dates:
-            events = rows_on(session, events_path, staged.schema, dates)
-            mart = marts.user_activity_daily(daily.user_events_daily(events))
-            upsert(session, table_path, mart, marts.GRAIN["user_activity_daily"])
+            upsert(batch.sparkSession, path, store.current(dates), keys, unique=True)
 
     run_available(stream, f"{root}/checkpoint", each_batch)
-    return spark.read.parquet(table_path)
+    return spark.read.parquet(path)
