@@ -44,19 +44,23 @@ def with_row_index(df: DataFrame, order: Sequence[Column | str], name: str, star
 def dense_rank_desc(df: DataFrame, within: Sequence[str], value: str, name: str) -> DataFrame:
     """Dense rank of ``value``, highest first; a missing value has no rank.
 
-    Works on the distinct values only. They are numbered in (group, value)
-    order over the whole table and each group's first number is subtracted,
-    so one huge group is spread over many tasks.
+    The frame, often the end of a long aggregation, is computed once and stored.
+    Rows without a value are set apart before anything is shuffled, however many
+    they are. The others' distinct values are numbered in (group, value) order
+    over the whole table and each group's first number is subtracted, so one
+    huge group is spread over many tasks.
     """
     keys = [*within, value]
-    distinct_values = df.where(F.col(value).isNotNull()).select(*keys).distinct()
-    indexed = with_row_index(distinct_values, [*within, F.col(value).desc()], "_idx")
+    stored = materialize(df, "ranked")
+    valued = stored.where(F.col(value).isNotNull())
+    indexed = with_row_index(valued.select(*keys).distinct(), [*within, F.col(value).desc()], "_idx")
     firsts = indexed.groupBy(*within).agg(F.min("_idx").alias("_first"))
     ranks = (
         _join(indexed, firsts, within, "inner")
         .select(*keys, (F.col("_idx") - F.col("_first") + 1).cast("bigint").alias(name))
     )
-    return _join(df, ranks, within, "left", value)
+    unvalued = stored.where(F.col(value).isNull()).withColumn(name, F.lit(None).cast("bigint"))
+    return _join(valued, ranks, within, "inner", value).unionByName(unvalued)
 
 
 def dense_rank_in_run(value: str, run_key: str = "run_id") -> Column:

@@ -30,48 +30,44 @@ def build_market_snapshot(pairs: DataFrame, summaries: DataFrame) -> DataFrame:
     ``summaries``: documents, told apart by (run, source_file, captured_at), with the maps ``tickers``,
     ``prices_24h``, ``prices_7d`` plus ``run_id, captured_at, source_file``.
 
-    The document's maps become rows that meet on (document, key): tickers are keyed
-    by ticker id, prior prices by pair id. Carrying the price maps along the
-    exploded tickers instead would square the document's size.
+    A document is read once. Its tickers and prior prices are exploded together,
+    as rows that hold just the fields in use, and resolved to listed pairs in one
+    join: tickers by ticker id, prices by pair id. Rows of one document and pair
+    then meet in one grouping, so neither a ticker's other fields nor a document's
+    maps are shuffled, and no document is joined with itself.
     """
-    per_run = "run_id" in pairs.columns
-    docs = summaries.select(
-        "run_id", "captured_at", "source_file",
-        *[map_or_empty(m).alias(m) for m in ("prices_24h", "prices_7d")],
-        F.col("tickers"),
-    )
-    quotes = docs.select(
-        "run_id", "captured_at", "source_file", F.explode("tickers").alias("ticker_id", "t")
-    ).where(F.col("t").isNotNull())
-    prior = docs.select(
-        F.col("run_id").alias("_prior_run"), F.col("source_file").alias("_prior_file"),
-        F.col("captured_at").alias("_prior_at"),
-        F.explode(F.map_zip_with(
-            "prices_24h", "prices_7d", lambda _, day, week: F.struct(day.alias("day"), week.alias("week"))
-        )).alias("_prior_pair", "p"),
-    )
-    listed = pairs.select(
-        F.col("id").alias("pair_id"), "ticker_id", *(["run_id"] if per_run else [])
-    )
-    rows = quotes.join(listed, ["ticker_id", "run_id"] if per_run else "ticker_id", "inner")
-    rows = rows.join(
-        prior,
-        (F.col("run_id") == F.col("_prior_run")) & (F.col("pair_id") == F.col("_prior_pair"))
-        & F.col("source_file").eqNullSafe(F.col("_prior_file")) & F.col("captured_at").eqNullSafe(F.col("_prior_at")),
-        "left",
-    )
-
-    def field(name: str) -> Column:
-        return F.try_element_at("t", F.lit(name))
-
-    # Map lookups first, parsing second: each lookup is then done once although
-    # the parsers mention their argument several times.
-    texts = rows.select(
-        "pair_id", "ticker_id", "captured_at", "source_file", "run_id",
-        field("name").alias("asset_name"),
-        *[field(f).alias(f) for f in ("buy", "sell", "high", "low", "last", "vol_idr", "server_time")],
-        dynamic_volume("t").alias("vol_asset"),
-        F.col("p.day").alias("day"), F.col("p.week").alias("week"),
+    run = ["run_id"] if "run_id" in pairs.columns else []
+    document = ["run_id", "captured_at", "source_file"]
+    looked_up = ("buy", "sell", "high", "low", "last", "vol_idr", "server_time")
+
+    def ticker(e: Column) -> Column:
+        t = e["value"]
+        return F.struct(
+            F.lit("ticker").alias("kind"), e["key"].alias("key"),
+            F.when(t.isNotNull(), F.struct(
+                e["key"].alias("ticker_id"), F.try_element_at(t, F.lit("name")).alias("asset_name"),
+                *[F.try_element_at(t, F.lit(f)).alias(f) for f in looked_up],
+                dynamic_volume(t).alias("vol_asset"))).alias("quote"),
+            F.lit(None).cast("struct<day: string, week: string>").alias("prior"))
+
+    def price(e: Column) -> Column:
+        quote = ", ".join(f"{f}: string" for f in ("ticker_id", "asset_name", *looked_up, "vol_asset"))
+        return F.struct(F.lit("price").alias("kind"), e["key"].alias("key"),
+                        F.lit(None).cast(f"struct<{quote}>").alias("quote"), e["value"].alias("prior"))
+
+    prices = F.map_zip_with(map_or_empty("prices_24h"), map_or_empty("prices_7d"),
+                            lambda _, day, week: F.struct(day.alias("day"), week.alias("week")))
+    tickers = F.transform(F.map_entries(F.col("tickers")), ticker)
+    rows = summaries.where("tickers IS NOT NULL").select(
+        *document, F.explode(F.concat(tickers, F.transform(F.map_entries(prices), price))).alias("_row")
+    ).select(*document, "_row.*").where("quote IS NOT NULL OR kind = 'price'")
+    listed = pairs.select(F.lit("ticker").alias("kind"), F.col("ticker_id").alias("key"), F.col("id").alias("pair_id"), *run)
+    priced = pairs.select(F.lit("price").alias("kind"), F.col("id").alias("key"), F.col("id").alias("pair_id"), *run).distinct()
+    texts = (
+        rows.join(listed.unionByName(priced), ["kind", "key", *run])
+        .groupBy(*document, "pair_id").agg(F.collect_list("quote").alias("quotes"), F.collect_list("prior").alias("priors"))
+        .select(*document, "pair_id", F.explode("quotes").alias("q"), F.get("priors", F.lit(0)).alias("prior"))
+        .select(*document, "pair_id", "q.*", "prior.day", "prior.week")
     )
     return texts.select(
         "pair_id", "ticker_id", "asset_name",

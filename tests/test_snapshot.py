@@ -52,6 +52,24 @@ def test_pair_without_ticker_and_missing_prices(spark):
         ("btcidr", None, None, None)]
 
 
+def test_many_tickers_meet_their_prices_in_one_pass(spark, tmp_path):
+    """Unlisted tickers, tickers of two pairs, a pair of two tickers, missing maps, null tickers, two documents."""
+    pairs = [("a", "a_t"), ("b", "ab_t"), ("a2", "ab_t"), ("a", "extra_t"), ("c", "gone_t")]
+    full = {k: {**TICKER, "last": str(i)} for i, k in enumerate(("a_t", "ab_t", "extra_t", "unlisted_t"))}
+    p, s = payloads(spark, {**full, "null_t": None}, {"a": "1", "b": "2", "zz": "9"}, {"a2": "3"}, pairs)
+    empty = spark.createDataFrame([(None, {"a": "7"}, None)], schemas.SUMMARIES_PAYLOAD)
+    other = spark.createDataFrame([({"a_t": {"last": "50"}}, None, None)], schemas.SUMMARIES_PAYLOAD)
+    docs = s.unionByName(with_run(empty, CTX, "x/e.json")).unionByName(with_run(other, CTX, "x/o.json"))
+    docs.write.parquet(str(tmp_path / "docs"))
+    out = build_market_snapshot(p, spark.read.parquet(str(tmp_path / "docs")))
+    got = [(r.source_file[2], r.pair_id, r.ticker_id, r.last_price, r.price_24h_ago, r.price_7d_ago) for r in out.collect()]
+    assert sorted(got, key=str) == sorted([
+        ("o", "a", "a_t", 50.0, None, None), ("s", "a", "a_t", 0.0, 1.0, None), ("s", "a", "extra_t", 2.0, 1.0, None),
+        ("s", "b", "ab_t", 1.0, 2.0, None), ("s", "a2", "ab_t", 1.0, None, 3.0)], key=str)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 1 and plan.count("Generate") == 2
+
+
 def metrics(spark, *rows):
     names = schemas.columns(schemas.MARKET_SNAPSHOT)
     full = [tuple({"pair_id": f"p{i}", "run_id": "r", "captured_at": CTX.captured_at, **r}.get(n) for n in names)

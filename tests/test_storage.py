@@ -364,6 +364,16 @@ def test_dense_rank_keeps_every_row(spark):
     assert got == [("", 2.0, 2), ("", 3.0, 1), ("a", 0, 0), ("a", 1.0, 1), ("a", 1.0, 1)]
 
 
+def test_rank_sets_missing_values_apart(spark):
+    """A fifth of the rows without a value: they meet no join."""
+    df = spark.range(1000).select((F.col("id") % 3).alias("g"), F.when(F.col("id") % 5 > 0, F.col("id") % 40).cast("double").alias("v"))
+    out = dense_rank_desc(df, ["g"], "v", "r")
+    rows = out.collect()
+    assert len(rows) == 1000 and sum(r.r is None for r in rows) == 200 and max(r.r or 0 for r in rows) == 32
+    joined = out._jdf.queryExecution().optimizedPlan().toString().split("Join")
+    assert "isnotnull(v" in joined[1] and "LeftOuter" not in joined[1]
+
+
 def test_keep_first_limits_groups_below_the_exchange(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
     out = keep_first(df, ["k"], ["id"])
