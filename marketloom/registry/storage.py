@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
@@ -22,8 +22,8 @@ from marketloom.jobs.trading import load_trading
 from marketloom.sinks.lake import SILVER, write_silver
 from marketloom.sinks.tables import TableStore, mart_path
 from marketloom.sources.documents import newer_documents, read_documents
-from marketloom.sources.landing import read_runs, read_snapshots
-from marketloom.storage import children, delete
+from marketloom.sources.landing import dataset_root, latest_run, read_runs, read_snapshots
+from marketloom.storage import children, delete, make_dirs
 from marketloom.streaming.incremental import read_landing, stream_daily_market, stream_user_activity
 
 FIRST_LOAD_UNTIL = "2024-01-20 12:00:00"
@@ -146,6 +146,46 @@ def bronze_roundtrip(spark, sf_dir):
     )
 
 
+_RUN_SUMS = """
+SELECT event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total
+FROM events WHERE event_id % 3 = {part} GROUP BY 1"""
+
+
+def _landed_runs(spark, sf_dir, order):
+    """The events as three Bronze runs of consecutive hours, around midnight, written in some order."""
+    root, events = work_path(spark, "runs"), src.table(spark, sf_dir, "events")
+    for part in order:
+        ctx = RunContext.create(datetime(2026, 9, 12, 22, tzinfo=timezone.utc) + timedelta(hours=part))
+        write_bronze(events.where(F.col("event_id") % 3 == part), root, "events", ctx, "mongodb")
+    return dataset_root(root, "mongodb", "events")
+
+
+def _run_sums(spark, path):
+    run = spark.read.schema("event_id bigint, event_type string, value double").json(path)
+    return run.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).cast("decimal(38,2)").alias("total"))
+
+
+@register("latest_run_path", _RUN_SUMS.format(part=2))
+def latest_run_path(spark, sf_dir):
+    """The run of the highest date and hour, though it was written first."""
+    return _run_sums(spark, latest_run(spark, [_landed_runs(spark, sf_dir, (2, 0, 1))]))
+
+
+@register("latest_run_modified", _RUN_SUMS.format(part=1))
+def latest_run_modified(spark, sf_dir):
+    """The run written last, though another has a later hour."""
+    return _run_sums(spark, latest_run(spark, [_landed_runs(spark, sf_dir, (2, 0, 1))], by="modified"))
+
+
+@register("latest_run_fallback", _RUN_SUMS.format(part=2))
+def latest_run_fallback(spark, sf_dir):
+    """The first root is missing, the second holds no run."""
+    empty = work_path(spark, "no-runs")
+    make_dirs(spark, f"{empty}/ingestion_date=2026-12-31/hour=23")
+    return _run_sums(spark, latest_run(spark, [f"{empty}-gone", empty, _landed_runs(spark, sf_dir, (0, 1, 2))]))
+
+
 @register("lake_roundtrip", q.with_ctes(SILVER_BY_DAY, """
 SELECT pair_id, ticker_id, last_price, volume_idr, date_trunc('day', captured_at) AS captured_at, run_id
 FROM silver WHERE run_id = '2024-01-10'"""))

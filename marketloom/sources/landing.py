@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from marketloom import schemas
 from marketloom.functions import file_captured_at, file_stem
-from marketloom.storage import exists
+from marketloom.storage import entries, exists
 
 API_SOURCE = "exchange"
 
@@ -36,20 +36,42 @@ def list_runs(spark: SparkSession, path: str) -> DataFrame:
     return files.where(F.col("path").rlike(r"\.json(/[^/]*)?$")).withColumn("run", file_stem("path"))
 
 
+def last_in_path_order(spark: SparkSession, path: str) -> str | None:
+    """The last run below a folder, found from the highest names down.
+
+    Dates and hours are folder names, so each level is listed once and only its
+    highest branch that holds a run is entered, however long the history is.
+    """
+    below = entries(spark, path)
+    for name, full, folder in sorted(below, key=lambda e: f"{e[0]}/" if e[2] else e[0], reverse=True):
+        if not folder:
+            if name.endswith(".json"):
+                return full
+        elif name.endswith(".json"):
+            if any(not inner for _, _, inner in entries(spark, full)):
+                return full
+        elif (found := last_in_path_order(spark, full)) is not None:
+            return found
+    return None
+
+
+def last_modified(spark: SparkSession, path: str) -> str | None:
+    """The run modified last, which takes a listing of all of them."""
+    newest = list_runs(spark, path).agg(F.max_by("path", F.struct("modificationTime", "path"))).first()[0]
+    folder = None if newest is None else newest.rsplit("/", 1)[0]
+    return folder if folder is not None and folder.endswith(".json") else newest
+
+
 def latest_run(spark: SparkSession, roots: Sequence[str], by: str = "path") -> str:
     """Path of the newest run: a ``.json`` file, or the folder Spark wrote it as.
 
     Newest is last in path order, or the last modified with ``by="modified"``.
     Of several roots the first holding any run decides.
     """
+    newest = last_in_path_order if by == "path" else last_modified
     for root in roots:
-        if not exists(spark, root):
-            continue
-        order = F.col("path") if by == "path" else F.struct("modificationTime", "path")
-        newest = list_runs(spark, root).agg(F.max_by("path", order)).first()[0]
-        if newest is not None:
-            folder = newest.rsplit("/", 1)[0]
-            return folder if folder.endswith(".json") else newest
+        if exists(spark, root) and (found := newest(spark, root)) is not None:
+            return found
     raise NoRunsError(f"no landing files below {list(roots)}")
 
 

@@ -35,6 +35,13 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
+def entries(spark: SparkSession, path: str) -> list[tuple[str, str, bool]]:
+    """(name, path, is a folder) of what lies directly below a folder, without hidden entries."""
+    fs, target = hadoop_path(spark, path)
+    found = [(s.getPath().getName(), s.getPath().toString(), bool(s.isDirectory())) for s in fs.listStatus(target)]
+    return [e for e in found if not e[0].startswith(("_", "."))]
+
+
 def read_partitions(spark: SparkSession, path: str, schema: StructType | None, column: str,
                     values: Sequence) -> DataFrame | None:
     """Rows of the named partitions; None where the table holds none of them.

@@ -105,6 +105,20 @@ def test_latest_run_by_path_by_time_and_fallback(spark, tmp_path):
         landing.latest_run(spark, [str(tmp_path / "empty")])
 
 
+def test_latest_run_lists_one_folder_per_level(spark, tmp_path, monkeypatch):
+    """Forty days of hourly runs, and a last hour without one: four listings."""
+    for day in range(1, 41):
+        for hour in ("00", "23"):
+            folder = tmp_path / f"ingestion_date=2026-{1 + day // 28:02d}-{1 + day % 28:02d}" / f"hour={hour}"
+            folder.mkdir(parents=True)
+            if (day, hour) != (40, "23"):
+                (folder / f"x_{day:02d}{hour}.json").write_text("{}")
+    listed, real = [], landing.entries
+    monkeypatch.setattr(landing, "entries", lambda s, p: listed.append(p) or real(s, p))
+    assert landing.latest_run(spark, [str(tmp_path)]).endswith("hour=00/x_4000.json")
+    assert len(listed) == 4
+
+
 def test_latest_run_of_spark_written_run(spark, tmp_path):
     path = write_bronze(spark.createDataFrame([(1,)], "n int"), str(tmp_path), "x", CTX, "src")
     assert landing.latest_run(spark, [landing.dataset_root(str(tmp_path), "src", "x")]).endswith(path.split("/")[-1])
