@@ -49,10 +49,10 @@ def ticks_from(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("event_type").alias("pair_id"),
         last.alias("last_price"),
-        (last * F.lit("0.9995").cast("decimal(5,4)")).cast("decimal(28,8)").alias("buy_price"),
-        (last * F.lit("1.0005").cast("decimal(5,4)")).cast("decimal(28,8)").alias("sell_price"),
-        (last * F.lit("1.02").cast("decimal(5,4)")).cast("decimal(28,8)").alias("high_price"),
-        (last * F.lit("0.98").cast("decimal(5,4)")).cast("decimal(28,8)").alias("low_price"),
+        (last * F.lit("0.9992").cast("decimal(5,4)")).cast("decimal(28,8)").alias("buy_price"),
+        (last * F.lit("1.0008").cast("decimal(5,4)")).cast("decimal(28,8)").alias("sell_price"),
+        (last * F.lit("1.015").cast("decimal(5,4)")).cast("decimal(28,8)").alias("high_price"),
+        (last * F.lit("0.985").cast("decimal(5,4)")).cast("decimal(28,8)").alias("low_price"),
         F.col("user_id").cast("decimal(28,8)").alias("volume_asset"),
         last.alias("volume_idr"),
         F.col("ts").alias("captured_at"),

@@ -45,7 +45,7 @@ def bronze(gen):
 def test_generated_tables(spark, gen):
     data = gen.relational()
     assert {n: df.count() for n, df in data.items()} == {
-        "users": 50, "accounts": 120, "assets": 12, "orders": 500, "trades": 1000, "transactions": 600}
+        "users": 64, "accounts": 96, "assets": 17, "orders": 640, "trades": 1280, "transactions": 320}
     for name, ddl in schemas.RELATIONAL.items():
         assert [(f.name, f.dataType) for f in data[name].schema] == [(f.name, f.dataType) for f in schemas.struct(ddl)]
     orders, trades = data["orders"], data["trades"]
@@ -56,7 +56,7 @@ def test_generated_tables(spark, gen):
     traded = orders.join(trades.select("order_id").distinct(), "order_id", "left_semi")
     assert {r.status for r in traded.select("status").distinct().collect()} == {"filled", "partially_filled"}
     shares = {r.status: r["count"] for r in orders.groupBy("status").count().collect()}
-    assert shares == {"filled": 275, "partially_filled": 75, "open": 100, "cancelled": 50}
+    assert shares == {"filled": 288, "partially_filled": 128, "open": 160, "cancelled": 64}
 
 
 def test_generation_is_independent_of_partitioning(spark):
@@ -67,7 +67,7 @@ def test_generation_is_independent_of_partitioning(spark):
     assert a == other.orders().agg(F.sum(F.xxhash64("*").cast("decimal(38,0)"))).first()[0]
     assert a != Generator(spark, NOW, Sizes(orders=300), seed=1).orders().agg(
         F.sum(F.xxhash64("*").cast("decimal(38,0)"))).first()[0]
-    assert Sizes().scaled(100).orders == 50_000
+    assert Sizes().scaled(100).orders == 64_000
 
 
 def test_generated_documents(spark, gen):
@@ -217,4 +217,4 @@ def test_stream_to_bronze_lands_rows_once(spark, gen, tmp_path):
     assert sorted(map(str, back.select("_id", "ingested_at").collect())) == sorted(
         map(str, docs.select("_id", "ingested_at").collect()))
     # A batch delivered again replaces itself.
-    assert back.select("_id").distinct().count() == back.count() == 600
+    assert back.select("_id").distinct().count() == back.count() == 640
