@@ -2,16 +2,20 @@
 
 A document is the set of its word shingles. Documents with equal sets form a
 class, represented by its smallest id. Many universal hash minima of a class
-are cut into bands; classes that share a band may be similar. Candidates are
-verified on their full sets, and verified links joined to components.
+are cut into bands; classes that share a band may be similar. One bit of each
+minimum is kept as the class's signature: candidates whose signatures differ in
+more bits than a pair at the threshold does, by ``SIGMAS`` standard deviations,
+or whose sizes rule the threshold out, go no further. The others are verified on
+their full sets, and verified links joined to components.
 
 A band's classes are not compared pair by pair. First each class meets the
-smallest class that it shares a band with. Then only bands that still hold
-several components count: classes outside a band's main component meet all
-others there, a bounded number of them each turn, and then leave the band, which
-settles their links in it. This goes on until every band holds one component, so
-no link within a band is lost. With 48 bands of 6 rows a pair at similarity 0.8
-shares no band with a probability below 1e-6.
+smallest class of each of its bands. Then only bands that still hold several
+components count: classes outside a band's main component meet all others
+there, a bounded number of them each turn. A band's main component is that of
+one class for good, so a pair that one turn leaves out is in another, and no link
+within a band is lost. With 48 bands of 6 rows a pair at similarity 0.8 shares no
+band with a probability below 1e-6, and fails the signatures with one of about
+1e-5.
 
 Edge cases: a text without words has an empty set and links with nothing; a
 text shorter than a shingle is one shingle; a missing doc_id links with
@@ -21,11 +25,12 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm.components import components
@@ -33,7 +38,9 @@ from marketloom.session import materialize
 
 BANDS, ROWS = 48, 6
 #: Classes outside a band's main component that meet all others in one turn.
-SMALL_BAND = 32
+SMALL_BAND = 256
+#: How far from its mean a true pair's count of differing signature bits may lie.
+SIGMAS = 4.5
 #: Classes that meet one other class in one task; more are spread by a salt.
 PER_TASK = 64
 
@@ -80,8 +87,9 @@ def coefficients(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
             rng.integers(0, 1 << 32, (n, 1), np.uint32))
 
 
-def band_hashes(hashes: np.ndarray, functions: tuple[np.ndarray, np.ndarray], bands: int, rows: int) -> np.ndarray:
-    """One 64-bit number per band from the minima of bands x rows universal hashes.
+def band_hashes(hashes: np.ndarray, functions: tuple[np.ndarray, np.ndarray], bands: int,
+                rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """One 64-bit number per band from the minima of bands x rows universal hashes, and a bit of each minimum.
 
     The upper halves of the shingle hashes are hashed on, in 32 bits.
     """
@@ -95,11 +103,12 @@ def band_hashes(hashes: np.ndarray, functions: tuple[np.ndarray, np.ndarray], ba
         out = np.arange(bands, dtype=np.uint64)
         for r in range(rows):
             out = _mix(out * np.uint64(0x9E3779B97F4A7C15) + minima[:, r])
-    return out
+        bits = (_mix(minima.ravel() + np.uint64(1)) >> np.uint64(63)).astype(np.uint8)
+    return out, np.packbits(np.pad(bits, (0, -len(bits) % 64))).view(np.int64)
 
 
 def signed(docs: DataFrame, width: int, bands: int, rows: int, seed: int) -> DataFrame:
-    """(doc_id, n_shingles, digest, bands) of each document; no texts."""
+    """(doc_id, n_shingles, digest, bands, bits) of each document; no texts."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
@@ -107,18 +116,21 @@ def signed(docs: DataFrame, width: int, bands: int, rows: int, seed: int) -> Dat
         shingler, functions = Shingler(width), coefficients(bands * rows, seed)
         for whole in batches:
             for batch in (whole.slice(s, 512) for s in range(0, whole.num_rows, 512)):
-                sizes, digests, marks = [], [], []
+                sizes, digests, marks, signatures = [], [], [], []
                 for text in batch["text"].to_pylist():
                     h = shingler.of(text)
                     sizes.append(len(h))
                     digests.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest())
-                    marks.append(band_hashes(h, functions, bands, rows).view(np.int64) if len(h) else [])
+                    made, bits = band_hashes(h, functions, bands, rows) if len(h) else (np.empty(0), np.empty(0, np.int64))
+                    marks.append(made.view(np.int64))
+                    signatures.append(bits)
                 yield pa.RecordBatch.from_arrays(
                     [batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                     pa.array(marks, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "digest", "bands"])
+                     *(pa.array(lists, pa.list_(pa.int64())) for lists in (marks, signatures))],
+                    names=["doc_id", "n_shingles", "digest", "bands", "bits"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        sign, "doc_id long, n_shingles long, digest binary, bands array<long>")
+        sign, "doc_id long, n_shingles long, digest binary, bands array<long>, bits array<long>")
 
 
 def shingle_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
@@ -179,20 +191,29 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     )
 
 
-def _labelled(live: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(band, id, c): the component of each class still in a band."""
-    if labels is None:
-        return live.withColumn("c", F.col("id"))
-    return live.join(labels.select(F.col("node").alias("id"), "component_id"), "id", "left").select(
-        "band", "id", F.coalesce("component_id", "id").alias("c"))
+def alike(a: str, b: str, minima: int, num: int, den: int) -> Column:
+    """True unless sizes or signatures of two classes (structs of n and bits) rule out num / den."""
+    differ = (1 - num / den) / 2  # a bit of different minima is the same half the time
+    most = minima * differ + SIGMAS * math.sqrt(minima * differ * (1 - differ))
+    x, y = F.col(a), F.col(b)
+    apart = sum(F.bit_count(x["bits"][k].bitwiseXOR(y["bits"][k])) for k in range(-(-minima // 64)))
+    return (den * F.least(x["n"], y["n"]) >= num * F.greatest(x["n"], y["n"])) & (apart <= int(most))
+
+
+def _labelled(live: DataFrame, labels: DataFrame) -> DataFrame:
+    """Band members with c, the component of each class."""
+    of = labels.select(F.col("node").alias("id"), "component_id")
+    return live.join(of, "id", "left").select("band", "id", "sig", F.coalesce("component_id", "id").alias("c"))
 
 
 def _open_bands(rows: DataFrame) -> DataFrame:
-    """Bands with more than one component: size, largest component, classes outside it."""
+    """Bands with more than one component: a class of the largest one, and the turns for the classes outside it."""
     return (
-        rows.groupBy("band", "c").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("band").agg(F.sum("n").alias("size"), F.max(F.struct("n", "c")).alias("most"), F.count(F.lit(1)).alias("parts"))
-        .where("parts > 1").select("band", "size", F.col("most.c").alias("main"), (F.col("size") - F.col("most.n")).alias("stray"))
+        rows.groupBy("band", "c").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"))
+        .groupBy("band").agg(F.sum("n").alias("size"), F.max(F.struct("n", "id")).alias("most"), F.count(F.lit(1)).alias("parts"))
+        .where("parts > 1")
+        .select("band", F.col("most.id").alias("anchor"),
+                F.ceil((F.col("size") - F.col("most.n")) / SMALL_BAND).cast("bigint").alias("turns"))
     )
 
 
@@ -219,34 +240,50 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 8, den: int = 10
     signatures = materialize(signed(docs, width, bands, rows, seed), "signatures")
     reps = materialize(
         signatures.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("digest")
-        .agg(F.min(F.struct("doc_id", "bands")).alias("r")).select("digest", F.col("r.doc_id").alias("rep"), "r.bands"),
-        "set-classes")
+        .agg(F.min(F.struct("doc_id", "bands", F.struct(F.col("n_shingles").alias("n"), "bits").alias("sig"))).alias("r"))
+        .select("digest", F.col("r.doc_id").alias("rep"), "r.bands", "r.sig"), "set-classes")
     banded = reps.select(F.explode("bands").alias("band"), F.col("rep").alias("id"))
     shared = materialize(
         banded.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("least")).where("size > 1"), "shared-bands")
-    live = materialize(banded.join(shared.select("band", "least"), "band"), "band-members")
-    nearest = live.groupBy("id").agg(F.min("least").alias("a")).where("a < id")
-    sets = materialize(shingle_sets(docs, live.select("id").distinct(), width), "shingle-sets")
-    links = materialize(verified(nearest.select("a", F.col("id").alias("b")), sets, num, den), "links")
+    of = reps.select(F.col("rep").alias("id"), "sig")
+    members = materialize(banded.join(shared.select("band", "least"), "band"), "band-members")
+    nearest = members.where("least < id").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
+    both = (
+        nearest.join(of.toDF("a", "sig_a"), "a").join(of.toDF("b", "sig_b"), "b")
+        .where(alike("sig_a", "sig_b", bands * rows, num, den)).select("a", "b")
+    )
+    sets = materialize(shingle_sets(docs, members.select("id").distinct(), width), "shingle-sets")
+    links = materialize(verified(materialize(both, "nearest-pairs"), sets, num, den), "links")
     labels = materialize(components(links), "labels")
-    live, turn = live.select("band", "id"), 0
+    live = members.select("band", "id").join(of, "id")
+    marked = materialize(_labelled(live, labels), "marked-bands")
+    open_ = materialize(_open_bands(marked.select("band", "id", "c")), "open-bands")
+    turn = 0
     while True:
-        marked = materialize(_labelled(live, labels), "marked-bands")
-        open_ = materialize(_open_bands(marked), "open-bands")
-        if open_.isEmpty():
+        # The main component of a band is that of its anchor, as far as it has grown by now.
+        anchors = open_.where(F.col("turns") > turn).join(
+            labels.select(F.col("node").alias("anchor"), F.col("component_id").alias("main")), "anchor", "left").select(
+            "band", "turns", F.coalesce("main", "anchor").alias("main"))
+        centers = materialize(
+            marked.select("band", F.col("id").alias("a"), F.col("c").alias("c_a"), F.col("sig").alias("sig_a"))
+            .join(anchors, "band").withColumn("turn", F.pmod(F.xxhash64("a"), F.col("turns")))
+            .where((F.col("c_a") != F.col("main")) & (F.col("turn") >= turn)).drop("turns", "main"), "centers")
+        most = centers.groupBy("band").count().agg(F.max("count")).first()[0]
+        if not most:
             break
-        inside = marked.join(open_, "band")
-        # In a small band every class outside the main component meets all others,
-        # in a large one about SMALL_BAND of them each turn; they then leave it.
-        parts = F.ceil(F.col("stray") / SMALL_BAND).cast("bigint")
-        chosen = (F.col("c") != F.col("main")) & (F.pmod(F.xxhash64("id"), parts) == F.pmod(F.lit(turn), parts))
-        centers = inside.where(chosen).select("band", F.col("id").alias("a"), F.col("c").alias("c_a"))
-        near = inside.select("band", F.col("id").alias("b"), F.col("c").alias("c_b"))
+        last = most <= SMALL_BAND  # so few are left that all can have their turn
+        near = marked.select("band", F.col("id").alias("b"), F.col("c").alias("c_b"), F.col("sig").alias("sig_b"))
         pairs = materialize(
-            centers.join(near, "band").where("c_a <> c_b").select("a", "b").distinct(), "open-pairs")
-        labels = _joined(labels, materialize(verified(pairs, sets, num, den), "links"))
-        live = materialize(inside.where(~chosen).select("band", "id"), "band-members")
+            centers.where(F.lit(last) | (F.col("turn") == turn)).drop("turn").join(near, "band")
+            .where((F.col("c_a") != F.col("c_b")) & alike("sig_a", "sig_b", bands * rows, num, den))
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "open-pairs")
+        if not pairs.isEmpty():
+            labels = _joined(labels, materialize(verified(pairs, sets, num, den), "links"))
+        if last:
+            break
         turn += 1
+        live = marked.select("band", "id", "sig").join(open_.where(F.col("turns") > turn).select("band"), "band", "left_semi")
+        marked = materialize(_labelled(live, labels), "marked-bands")
     classes = reps.select("digest", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "digest", F.coalesce("component_id", "rep").alias("component_id"))
     whole = signatures.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
