@@ -18,9 +18,11 @@ band with a probability below 1e-6, and fails the signatures with one of about
 1e-5.
 
 Edge cases: a text without words has an empty set and links with nothing; a
-text shorter than a shingle is one shingle; a missing doc_id links with
-nothing and has no component; rows that share a doc_id are one document; an
-empty table gives an empty result.
+text shorter than a shingle is one shingle; each row is a document of its own,
+also where rows share a doc_id (ordered by a hash of the text) or have none (they come last): of
+equal rows one is kept. A component without any doc_id has none. A text of any
+length is one value of a row; other columns are left aside; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm.components import components
+from marketloom.llm.rows import numbered
 from marketloom.session import materialize
 
 BANDS, ROWS = 48, 6
@@ -235,11 +238,27 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 8, den: int = 10
     """(doc_id, n_shingles, component_id, kept) of each document.
 
     Links are pairs with a similarity of at least num / den on sets of
-    ``width``-word shingles.
+    ``width``-word shingles. ``kept`` is true for one row of each component,
+    the first one with its smallest doc_id.
     """
+    given, own = numbered(docs)
+    found = grouped_rows(given.select(F.col("id").alias("doc_id"), F.col("row.text").alias("text")),
+                         width, num, den, bands, rows, seed)
+    if own:
+        return found
+    names = given.select("id", F.col("row.doc_id").cast("bigint").alias("name"))
+    members = found.withColumnRenamed("doc_id", "id").join(names, "id")
+    firsts = names.toDF("component_id", "first")
+    return members.join(firsts, "component_id").select(
+        F.col("name").alias("doc_id"), "n_shingles", F.col("first").alias("component_id"), "kept")
+
+
+def grouped_rows(docs: DataFrame, width: int = 5, num: int = 8, den: int = 10, bands: int = BANDS,
+                 rows: int = ROWS, seed: int = 9) -> DataFrame:
+    """``near_duplicates`` of documents that all have a doc_id of their own."""
     signatures = materialize(signed(docs, width, bands, rows, seed), "signatures")
     reps = materialize(
-        signatures.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("digest")
+        signatures.where("n_shingles > 0").groupBy("digest")
         .agg(F.min(F.struct("doc_id", "bands", F.struct(F.col("n_shingles").alias("n"), "bits").alias("sig"))).alias("r"))
         .select("digest", F.col("r.doc_id").alias("rep"), "r.bands", "r.sig"), "set-classes")
     banded = reps.select(F.explode("bands").alias("band"), F.col("rep").alias("id"))
@@ -287,7 +306,5 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 8, den: int = 10
     classes = reps.select("digest", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "digest", F.coalesce("component_id", "rep").alias("component_id"))
     whole = signatures.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
-    alone = F.expr("n_shingles = 0 OR doc_id IS NULL")
-    component = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
-    return whole.select("doc_id", "n_shingles", component.alias("component_id"),
-                        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    return whole.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))

@@ -14,9 +14,11 @@ group that still ties, which finds the suffixes equal in all ``length`` bytes.
 Keys with many different runs are split further by the bytes that all windows
 of a few offsets have in common.
 
-Edge cases: a missing text is empty and nothing is removed from it; a missing
-doc_id takes no part; rows that share a doc_id are one document and never
-repeat one another; an empty table gives an empty result.
+Edge cases: a missing text is empty and nothing is removed from it; each row is
+a document of its own, also where rows share a doc_id (ordered by a hash of the text) or have
+none (they come last), so of equal rows all but one lose what they repeat; a text
+of any length is hashed in tiles, but is one value of a row; other columns travel
+in ``row`` whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketloom.llm.rows import numbered
 from marketloom.session import materialize
 
 LENGTH = 100
@@ -394,7 +397,10 @@ def sort_suffixes(open_text: DataFrame, length: int, shallow: int) -> DataFrame:
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shallow: int = SHALLOW) -> DataFrame:
-    """(doc_id, windows): the windows of each document that also start earlier, as (start, n)."""
+    """(doc_id, windows): the windows of each document that also start earlier, as (start, n).
+
+    Every row must have a doc_id of its own, see ``rows.numbered``.
+    """
     settled = materialize(settle_runs(find_runs(docs, length, gram)), "settled-runs")
     text = materialize(
         fetch_text(settled.where("open").select("key", "doc_id", "start", "n"), docs, length, gram), "open-runs")
@@ -413,7 +419,9 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shallo
     With ``whole_characters`` what is left of a character that a span cuts
     through goes too, so the kept bytes are valid UTF-8.
     """
-    found = repeats(docs, length, gram, shallow).withColumnRenamed("doc_id", "_doc_id")
+    own, _ = numbered(docs)
+    texts = own.select(F.col("id").alias("doc_id"), F.col("row.text").alias("text"))
+    found = repeats(texts, length, gram, shallow).withColumnRenamed("doc_id", "_doc_id")
 
     def spans_of(windows: list[dict] | None) -> list[tuple[int, int]]:
         out: list[list[int]] = []
@@ -441,7 +449,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shallo
                 [batch["row"], pa.array(spans, pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))),
                  pa.array(kept, pa.binary())], names=["row", "spans", "kept"])
 
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("_id"), F.col("text").alias("_text"))
+    rows = own.select("row", F.col("id").alias("_id"), F.col("row.text").alias("_text"))
     joined = rows.join(found, F.col("_id") == F.col("_doc_id"), "left").select(
         "row", "_text", F.col("windows").alias("_windows"))
     kind = rows.schema["row"].dataType.simpleString()

@@ -161,13 +161,20 @@ def test_near_copies_equal_plain(monkeypatch, as_documents, edge_rows, small_ban
 
 
 def test_near_copies_edge_cases(as_documents, edge_rows):
-    docs = as_documents([*edge_rows, (None, "word", "en", "a")])
+    docs = as_documents([*edge_rows, (None, "word", "en", "a"), (None, "alone here", "en", "a")])
     got = minhash.near_duplicates(docs).collect()
-    assert len(got) == len(edge_rows) + 1
-    assert all(r.component_id is None and r.kept for r in got if r.doc_id is None)
+    assert len(got) == len(edge_rows) + 2
+    assert sorted((r.component_id or 0, r.kept) for r in got if r.doc_id is None) == [(0, True), (8, False)]
+    assert sorted(r.kept for r in got if r.component_id == 1) == [False, False, True]  # one of the equal rows 1, not 10
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_are_told_apart(as_documents):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    got = minhash.near_duplicates(as_documents([(5, a, "", ""), (7, a, "", ""), (7, b, "", ""), (9, b, "", "")])).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got) == [(5, 5, True), (7, 5, False), (7, 7, True), (9, 7, False)]
+
+
 # Repeats
 
 @pytest.mark.parametrize("split_from", [suffixes.SPLIT_FROM, 3])
@@ -190,12 +197,20 @@ def test_repeats_edge_cases(monkeypatch, as_documents, edge_rows):
     docs = as_documents([*edge_rows, (None, "x" * 500, "en", "a")])
     got = suffixes.deduplicated(docs).select("row.doc_id", F.size("spans").alias("n"), F.length("kept").alias("left")).collect()
     assert len(got) == len(edge_rows) + 1
-    assert [r.n for r in got if r.doc_id is None] == [0]
-    assert len({r for r in got if r.doc_id == 1}) == 1  # rows that share an id are one document
+    assert [r.left for r in got if r.doc_id is None] == [1]  # its strings but the first start earlier as well
+    assert sorted(r.left for r in got if r.doc_id == 1)[0] == 0  # of equal rows one keeps its text
     assert [r.left for r in got if r.doc_id == 9] == [0]
     assert suffixes.deduplicated(docs.limit(0)).count() == 0
 
 
+def test_repeats_of_rows_that_share_an_id(as_documents):
+    rng = random.Random(3)
+    p, x, other = ("".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (300, 100, 400))
+    got = suffixes.deduplicated(as_documents([(1, p, "", ""), (2, p + x, "", ""), (2, other, "", ""), (None, other, "", "")]))
+    left = sorted((r.doc_id or 0, bytes(r.kept).decode()) for r in got.select("row.doc_id", "kept").collect())
+    assert left == sorted([(1, p), (2, x), (2, other), (0, "")])
+
+
 def test_blind_trie_orders_suffixes():
     rng = random.Random(6)
     data = bytes(rng.choice(b"ab") for _ in range(400)) + bytes(8)

@@ -56,6 +56,24 @@ def test_rows_are_judged_by_themselves(spark, sf_dir, as_documents):
     assert [r.row for r in got.collect()] == ["x"] * 4
 
 
+def test_near_copies_go_row_by_row(spark, sf_dir, as_documents):
+    a, b, c = (" ".join(f"{k}{i}" for i in range(80)) for k in "abc")
+    docs = as_documents([(3, a, "en", "a"), (7, a, "en", "a"), (7, b, "en", "a"), (8, c, "en", "a"), (8, c, "en", "a"),
+                         (None, b, "en", "a"), (None, None, "en", "a")])
+    got = pipeline.near_duplicates(spark, docs, sf_dir)
+    assert got.columns == docs.columns
+    assert sorted(texts(got), key=repr) == sorted([(3, a), (7, b), (8, c), (None, None)], key=repr)
+    cut = pipeline.repeated_passages(spark, docs.where("doc_id = 7"), sf_dir)
+    assert sorted(texts(cut)) == [(7, a), (7, b)]
+
+
+def test_an_empty_table_passes_all_stages(spark, sf_dir, as_documents):
+    docs = as_documents([(1, "x", "en", "a")]).limit(0)
+    for name, stage in pipeline.STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    assert docs.count() == 0
+
+
 def test_queries_are_registered_in_the_entry():
     names = entry.queries()
     assert {f"op{n}_" for n in range(1, 11)} <= {n.split("_")[0] + "_" for n in names} and "pipeline" in names
