@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.llm import minhash, mixing, quality, queries, suffixes
+from marketloom.llm.rows import numbered
 from marketloom.llm.words import table
 from marketloom.session import materialize
 
@@ -26,16 +27,23 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies."""
-    copies = minhash.near_duplicates(docs, width=5, num=8, den=10).where("NOT kept").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """The document with the smallest id of each group of near copies.
+
+    Rows count by themselves, with any ids or none: of equal rows one stays.
+    A document without words stays, an empty table stays empty.
+    """
+    rows, _ = numbered(docs)
+    texts = rows.select(F.col("id").alias("doc_id"), F.col("row.text").alias("text"))
+    copies = minhash.grouped_rows(texts, width=5, num=8, den=10).where("NOT kept").select(F.col("doc_id").alias("id"))
+    return rows.join(copies, "id", "left_anti").select("row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without what they repeat of earlier ones; a text with nothing left goes.
 
     A cut through a character takes the whole character. ``n_chars`` counts
-    what is left.
+    what is left. Rows count by themselves, whatever their ids; a missing text
+    stays as it is.
     """
     text = F.when(F.size("spans") == 0, F.col("row.text")).otherwise(F.decode("kept", "UTF-8"))
     cut = suffixes.deduplicated(docs, whole_characters=True).withColumn("text", text)
@@ -45,12 +53,18 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often, and as far, as the mix takes their words."""
+    """The documents as often, and as far, as the mix takes their words.
+
+    A document without words is in no mix; a missing source is one of its own.
+    """
     return mixing.mixed_documents(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents with their places in training sequences."""
+    """Pieces of the documents with their places in training sequences.
+
+    A missing text is the end mark alone; rows that share an id are packed each.
+    """
     return queries.packed(docs, queries.tokenizer())
 
 
