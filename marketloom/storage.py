@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -21,6 +22,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(target))
 
 
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file and the folders above it; False where the file exists."""
+    fs, target = hadoop_path(spark, path)
+    try:
+        fs.create(target, False).close()
+    except Py4JJavaError:
+        if fs.exists(target):
+            return False
+        raise
+    return True
+
+
 def make_dirs(spark: SparkSession, path: str) -> None:
     fs, target = hadoop_path(spark, path)
     fs.mkdirs(target)

@@ -22,6 +22,7 @@ from marketloom.sinks.bronze import bronze_path, json_ready, write_bronze, write
 from marketloom.sinks.lake import write_snapshot
 from marketloom.sinks.tables import TableStore, conform, route_schema, save_table
 from marketloom.sources import catalog, documents, landing, tables
+from marketloom.storage import create_new
 
 UTC = timezone.utc
 CTX = RunContext.create(datetime(2026, 9, 12, 14, tzinfo=UTC))
@@ -204,6 +205,40 @@ def test_mark_store(spark, tmp_path):
     assert store.get("a") == t2
 
 
+def test_racing_commits_lose_no_mark(spark, tmp_path, monkeypatch):
+    root, t = str(tmp_path / "marks"), datetime(2026, 1, 1, tzinfo=UTC)
+    one, other = MarkStore(spark, root), MarkStore(spark, root)
+    other.update("old", "s", t)
+    plain, once = {m: getattr(one, m) for m in ("_numbers", "table")}, set()
+
+    def raced(method, name, taken):
+        def call():
+            found = taken(plain[method]())
+            if name not in once:
+                once.add(name)
+                other.update(name, "s", t)
+            return found
+
+        return call
+
+    # The other takes the number that this one is about to claim.
+    monkeypatch.setattr(one, "_numbers", raced("_numbers", "b", list))
+    # This one builds on a state from before the other's commit.
+    monkeypatch.setattr(one, "table", raced(
+        "table", "c", lambda df: spark.createDataFrame(df.collect(), schemas.struct(schemas.WATERMARK))))
+    one.update("a", "s", t)
+    assert once == {"b", "c"} and set(other.all()) == {"old", "a", "b", "c"}
+
+
+def test_a_dead_writers_claim_holds_nobody_up(spark, tmp_path):
+    store, t = MarkStore(spark, str(tmp_path / "marks")), datetime(2026, 1, 1, tzinfo=UTC)
+    store.update("a", "s", t)
+    assert create_new(spark, f"{store.root}/version=2/_claim") and not create_new(spark, f"{store.root}/version=2/_claim")
+    assert set(store.all()) == {"a"}
+    store.update("b", "s", t)
+    assert set(store.all()) == {"a", "b"}
+
+
 ORDERS = Dataset("orders", "postgres", "postgresql", "postgresql.orders", "updated_at")
 EVENTS = Dataset("user_events", "mongodb", "mongodb", "mongodb.user_events", "ingested_at", is_document=True)
 
