@@ -6,23 +6,27 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
+from marketloom import schemas
 from marketloom.context import RunContext
+from marketloom.jobs.increments import load_activity, load_slice
+from marketloom.jobs.ingest import DOCUMENTS, RELATIONAL, run_ingestion
+from marketloom.jobs.quotes import load_quotes
+from marketloom.jobs.trading import load_trading
+from marketloom.operators.state import MarkStore
 from marketloom.plans import daily, marts
 from marketloom.plans.star import load_market_snapshot, row_counts
 from marketloom.registry import inputs as src
 from marketloom.registry import sqltext as q
 from marketloom.registry.catalog import register
 from marketloom.registry.market import rounded, wide
-from marketloom.registry.snapshot import SILVER_BY_DAY, _gold_by_type, silver_by_day
+from marketloom.registry.snapshot import SILVER_BY_DAY, _gold_by_type, event_documents, silver_by_day
 from marketloom.session import work_path
 from marketloom.sinks.bronze import write_bronze
-from marketloom.jobs.increments import load_activity, load_slice
-from marketloom.jobs.quotes import load_quotes
-from marketloom.jobs.trading import load_trading
 from marketloom.sinks.lake import SILVER, write_silver
 from marketloom.sinks.tables import TableStore, mart_path
 from marketloom.sources.documents import newer_documents, read_documents
 from marketloom.sources.landing import dataset_root, latest_run, read_runs, read_snapshots
+from marketloom.sources.tables import RELATIONAL_MARKS, read_table
 from marketloom.storage import children, delete, make_dirs
 from marketloom.streaming.incremental import read_landing, stream_daily_market, stream_user_activity
 
@@ -127,6 +131,70 @@ def documents_incremental(spark, sf_dir):
     return found.select(F.col("_id").cast("bigint").alias("event_id"))
 
 
+#: Up to where each source of the ingestion run has rows when it first runs.
+_HAD = {"orders": "1998-06-30 00:00:00", "trades": "1999-01-31 12:00:00", "user_events": FIRST_LOAD_UNTIL}
+
+
+@register("ingestion_run", f"""
+WITH stamped AS (
+  SELECT 'orders' AS name, o_orderdate AS stamp, TIMESTAMP '{_HAD["orders"]}' AS had FROM orders
+  UNION ALL SELECT 'trades', l_shipdate, TIMESTAMP '{_HAD["trades"]}' FROM lineitem
+  UNION ALL SELECT 'user_events', date_trunc('second', ts), TIMESTAMP '{_HAD["user_events"]}' FROM events),
+runs AS (
+  SELECT name, 1 AS batch, count(*) FILTER (WHERE stamp <= had) AS n, NULL AS mark_before, max(stamp) FILTER (WHERE stamp <= had) AS mark_after
+  FROM stamped GROUP BY name
+  UNION ALL
+  SELECT name, 2, count(*) FILTER (WHERE stamp > had), max(stamp) FILTER (WHERE stamp <= had), max(stamp) FROM stamped GROUP BY name
+  UNION ALL
+  SELECT name, 3, 0, max(stamp), max(stamp) FROM stamped GROUP BY name)
+SELECT name, batch, n AS extracted, n AS landed, strftime(mark_before, '%Y-%m-%d %H:%M:%S.%f') AS mark_before,
+       strftime(mark_after, '%Y-%m-%d %H:%M:%S.%f') AS mark_after, 'success' AS status FROM runs""")
+def ingestion_run(spark, sf_dir):
+    """Relational extracts and documents brought to Bronze by three runs: what was there, what came since, nothing.
+
+    One row per dataset and run: rows by its audit record, rows found in Bronze
+    and the mark before and after.
+    """
+    root = work_path(spark, "ingestion")
+    marks = MarkStore(spark, f"{root}/marks")
+    for name, rows in (("orders", src.orders(spark, sf_dir)), ("trades", src.trades(spark, sf_dir))):
+        declared = schemas.struct(schemas.RELATIONAL[name])
+        rows.select(*[F.col(f.name).cast(f.dataType) for f in declared]).write.parquet(f"{root}/extracts/{name}")
+    event_documents(spark, sf_dir).write.json(f"{root}/documents/user_events")
+
+    def relational(until):
+        def read(name):
+            rows = read_table(spark, name, f"{root}/extracts")
+            return rows.where(F.col(RELATIONAL_MARKS[name]) <= F.lit(until[name]).cast("timestamp")) if until else rows
+        return read
+
+    def collections(until):
+        def read(name):
+            rows = read_documents(spark, f"{root}/documents/{name}")
+            return rows.where(F.col("ingested_at").cast("timestamp") <= F.lit(until[name]).cast("timestamp")) if until else rows
+        return read
+
+    chosen = [d for d in RELATIONAL if d.name in _HAD], [d for d in DOCUMENTS if d.name in _HAD]
+    runs = []
+    for hour, until in ((1, _HAD), (2, None), (3, None)):
+        ctx = RunContext.create(datetime(2026, 9, 12, hour, tzinfo=timezone.utc))
+        sources = {"relational": (chosen[0], relational(until)), "documents": (chosen[1], collections(until))}
+        run_ingestion(spark, sources, f"{root}/bronze", marks, ctx, f"{root}/audit")
+        runs.append(ctx.run_id)
+    landed = None
+    for d in (*chosen[0], *chosen[1]):
+        found = read_runs(spark, f"{root}/bronze", d.bronze_source, d.name, "ingested_at string").groupBy(
+            F.substring_index("run_id", "_", -1).alias("run_id")).agg(F.count(F.lit(1)).alias("landed"))
+        found = found.select(F.lit(d.name).alias("dataset"), "run_id", "landed")
+        landed = found if landed is None else landed.union(found)
+    form = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return spark.read.schema(schemas.struct(schemas.RUN_AUDIT)).parquet(f"{root}/audit").join(
+        landed, ["dataset", "run_id"], "left").select(
+        F.col("dataset").alias("name"), F.array_position(F.lit(runs), F.col("run_id")).cast("int").alias("batch"),
+        F.col("rows_extracted").cast("bigint").alias("extracted"), F.coalesce("landed", F.lit(0).cast("bigint")).alias("landed"),
+        form("watermark_before").alias("mark_before"), form("watermark_after").alias("mark_after"), "status")
+
+
 @register("bronze_roundtrip", """
 SELECT CAST(ts AS DATE) AS date, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total,
        max(user_id) AS max_user, '2026-09-12' AS ingestion_date, '14' AS hour, 'events_20260912T140000Z' AS run_id
