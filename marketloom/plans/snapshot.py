@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom import schemas
@@ -33,7 +33,7 @@ def build_market_snapshot(pairs: DataFrame, summaries: DataFrame) -> DataFrame:
     A document is read once. Its tickers and prior prices are exploded together,
     as rows that hold just the fields in use, and resolved to listed pairs in one
     join: tickers by ticker id, prices by pair id. Rows of one document and pair
-    then meet in one grouping, so neither a ticker's other fields nor a document's
+    then meet in one window, so neither a ticker's other fields nor a document's
     maps are shuffled, and no document is joined with itself.
     """
     run = ["run_id"] if "run_id" in pairs.columns else []
@@ -63,11 +63,12 @@ def build_market_snapshot(pairs: DataFrame, summaries: DataFrame) -> DataFrame:
     ).select(*document, "_row.*").where("quote IS NOT NULL OR kind = 'price'")
     listed = pairs.select(F.lit("ticker").alias("kind"), F.col("ticker_id").alias("key"), F.col("id").alias("pair_id"), *run)
     priced = pairs.select(F.lit("price").alias("kind"), F.col("id").alias("key"), F.col("id").alias("pair_id"), *run).distinct()
+    # Bounded: the tickers of one pair in one document, and its prior prices.
+    of_pair = Window.partitionBy(*document, "pair_id")
     texts = (
         rows.join(listed.unionByName(priced), ["kind", "key", *run])
-        .groupBy(*document, "pair_id").agg(F.collect_list("quote").alias("quotes"), F.collect_list("prior").alias("priors"))
-        .select(*document, "pair_id", F.explode("quotes").alias("q"), F.get("priors", F.lit(0)).alias("prior"))
-        .select(*document, "pair_id", "q.*", "prior.day", "prior.week")
+        .withColumn("prior", F.max("prior").over(of_pair)).where("kind = 'ticker'")
+        .select(*document, "pair_id", "quote.*", "prior.day", "prior.week")
     )
     return texts.select(
         "pair_id", "ticker_id", "asset_name",
