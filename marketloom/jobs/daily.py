@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from marketloom.jobs.increments import load_slice
 from marketloom.operators.upsert import upsert
-from marketloom.plans import daily, marts, staging
+from marketloom.plans import marts, models
 from marketloom.quality import rules, suites
 from marketloom.session import fit_shuffle, materialize
 from marketloom.sinks.tables import mart_path
@@ -20,22 +20,17 @@ from marketloom.sinks.tables import mart_path
 def stage_all(bronze: Mapping[str, DataFrame], now: datetime | None = None) -> dict[str, DataFrame]:
     """Stage every Bronze table given; all rows of a run carry the same stamp."""
     stamp = F.lit(now or datetime.now(timezone.utc)).cast("timestamp")
-    return {
-        name: staging.stage_user_events(df, stamp) if name == "user_events" else staging.stage(name, df, stamp)
-        for name, df in bronze.items()
-    }
+    staged = [m for m in models.declared(stamp) if m.layer == models.STAGING]
+    built = models.build(staged, {f"bronze.{name}": df for name, df in bronze.items()})
+    return {m.name: built[m.key] for m in staged if m.key in built}
 
 
 def intermediate(staged: Mapping[str, DataFrame], unique_orders: bool = False) -> dict[str, DataFrame]:
     """The five intermediate models; lazy, so they inline into their users."""
-    orders, trades, events = staged["orders"], staged["trades"], staged["user_events"]
-    return {
-        "daily_market": daily.daily_market(staged["summaries"], "run_id"),
-        "orders_trades": daily.orders_trades(orders, trades),
-        "daily_trading": daily.daily_trading(orders, trades, unique_orders=unique_orders),
-        "user_events_daily": daily.user_events_daily(events),
-        "user_trading_activity": daily.user_trading_activity(orders, trades, events),
-    }
+    upper = [m for m in models.declared(unique_orders=unique_orders) if m.layer == models.INTERMEDIATE]
+    read = {i for m in upper for i in m.inputs}
+    built = models.build(upper, {i: staged[i.split(".")[1]] for i in read})
+    return {m.name: built[m.key] for m in upper}
 
 
 def read_mart(spark: SparkSession, root: str, mart: str) -> DataFrame:
@@ -56,25 +51,27 @@ def run_daily(spark: SparkSession, bronze: Mapping[str, DataFrame], root: str,
     at = now or datetime.now(timezone.utc)
     stamp = F.lit(at).cast("timestamp")
     fit_shuffle(spark, *bronze.values())
-    staged = stage_all(bronze, at)
+    # The checks and several models read the staged tables: each source is read once, for all of them.
+    staged = {name: materialize(df, f"staging-{name}") for name, df in stage_all(bronze, at).items()}
     if check:
         rules.require(rules.run_rules(staged, suites.model_rules()))
     if batch is not None:
         return load_slice(spark, root, staged, batch, at)
     # The staging rules include the uniqueness of order ids.
-    models = intermediate(staged, unique_orders=check)
+    made = intermediate(staged, unique_orders=check)
+    # An order with its trades breaks its two rules just where the order does, which is checked above.
+    del made["orders_trades"]
     # The aggregates are small and used by checks and marts: compute them once.
-    for name in ("daily_market", "daily_trading", "user_events_daily", "user_trading_activity"):
-        models[name] = materialize(models[name], name)
+    made = {name: materialize(df, name) for name, df in made.items()}
     if check:
-        rules.require(rules.run_rules(models, suites.model_rules()))
-        _require_empty(singular_checks(staged, models))
+        rules.require(rules.run_rules(made, suites.model_rules()))
+        _require_empty(singular_checks(staged, made))
 
     touched = {}
     built = {
-        "market_daily": marts.market_daily(models["daily_market"], stamp),
-        "trading_daily": marts.trading_daily(models["daily_trading"], stamp),
-        "user_activity_daily": marts.user_activity_daily(models["user_events_daily"], stamp),
+        "market_daily": marts.market_daily(made["daily_market"], stamp),
+        "trading_daily": marts.trading_daily(made["daily_trading"], stamp),
+        "user_activity_daily": marts.user_activity_daily(made["user_events_daily"], stamp),
     }
     with ThreadPoolExecutor(max_workers=len(built)) as pool:
         loads = {m: pool.submit(upsert, spark, mart_path(root, m), df, marts.GRAIN[m]) for m, df in built.items()}
@@ -89,12 +86,12 @@ def run_daily(spark: SparkSession, bronze: Mapping[str, DataFrame], root: str,
     return touched
 
 
-def singular_checks(staged: Mapping[str, DataFrame], models: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def singular_checks(staged: Mapping[str, DataFrame], made: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     checks = {
         "orders_filled_quantity": suites.filled_above_quantity(staged["orders"]),
         "no_orphan_trades": suites.orphan_trades(staged["trades"], staged["orders"]),
         "positive_prices": suites.non_positive_prices(staged["orders"], staged["summaries"]),
-        "non_negative_volumes": suites.negative_volumes(models["daily_market"], models["daily_trading"]),
+        "non_negative_volumes": suites.negative_volumes(made["daily_market"], made["daily_trading"]),
     }
     if "accounts" in staged:
         checks["account_balances"] = suites.negative_balances(staged["accounts"])

@@ -70,49 +70,45 @@ def violations(df: DataFrame, rule: Rule) -> DataFrame:
 
 
 def summary(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """One row with a violation count per rule, named after it.
+    """One row with a violation count per rule, named after it, in one scan.
 
-    All row rules share one scan. A uniqueness rule is folded into the same
-    scan by counting rows per key first; that grouping is partially aggregated
-    before the exchange, so a key repeated millions of times stays small.
-    Duplicates are the rows beyond the first of each key. At most one rule may
-    be a uniqueness rule; ``long_summary`` takes any number.
+    Row rules are settled in the scan: only rows that break some are counted, by
+    the set of rules they break. A uniqueness rule sends its keys, counted before
+    the exchange, and nothing else; duplicates are the rows beyond the first of
+    each key. At most 63 row rules.
     """
     row_rules = [r for r in rules if isinstance(r, RowRule)]
     unique_rules = [r for r in rules if isinstance(r, UniqueRule)]
-    counts = [F.count_if(r.condition()).alias(r.name) for r in row_rules]
     if not unique_rules:
-        return df.agg(*counts)
-    if len(unique_rules) > 1:
-        raise ValueError("summary() folds one uniqueness rule; use long_summary()")
-    rule = unique_rules[0]
-    per_key = df.groupBy(*rule.keys).agg(F.count(F.lit(1)).alias("_n"), *counts)
-    return per_key.agg(
-        _beyond_first(rule, "_n").alias(rule.name),
-        *[F.coalesce(F.sum(r.name), F.lit(0)).alias(r.name) for r in row_rules],
-    ).select(*[r.name for r in rules])
-
-
-def _beyond_first(rule: UniqueRule, n: str) -> Column:
-    extra = F.col(n) - 1
-    if rule.skip_nulls:
+        return df.agg(*[F.count_if(r.condition()).alias(r.name) for r in row_rules])
+    keys = list(dict.fromkeys(k for r in unique_rules for k in r.keys))
+    types = {f.name: f.dataType for f in df.select(*keys).schema}
+
+    def entry(number: int, broken: Column, own: Sequence[str]) -> Column:
+        held = [(F.col(k) if k in own else F.lit(None).cast(types[k])).alias(f"_key_{i}") for i, k in enumerate(keys)]
+        return F.struct(F.lit(number).alias("_rule"), broken.alias("_broken"), *held)
+
+    broken = F.lit(0).cast("bigint")
+    for i, r in enumerate(row_rules):
+        broken = broken + F.when(r.condition(), F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+    entries = [F.when(broken != 0, entry(0, broken, ()))] if row_rules else []
+    for number, r in enumerate(unique_rules, 1):
         known = F.lit(True)
-        for k in rule.keys:
+        for k in r.keys if r.skip_nulls else ():
             known = known & F.col(k).isNotNull()
-        extra = F.when(known, extra).otherwise(F.lit(0))
-    return F.coalesce(F.sum(extra), F.lit(0))
+        entries.append(F.when(known, entry(number, F.lit(0).cast("bigint"), r.keys)))
+    counted = (
+        df.select(F.inline(F.array(*entries))).where("_rule IS NOT NULL")
+        .groupBy("_rule", "_broken", *[f"_key_{i}" for i in range(len(keys))]).agg(F.count(F.lit(1)).alias("_n"))
+    )
+    found = {r.name: F.when((F.col("_rule") == 0) & F.getbit("_broken", F.lit(i)).cast("boolean"), F.col("_n"))
+             for i, r in enumerate(row_rules)}
+    found |= {r.name: F.when(F.col("_rule") == number, F.col("_n") - 1) for number, r in enumerate(unique_rules, 1)}
+    return counted.agg(*[F.coalesce(F.sum(found[r.name]), F.lit(0)).alias(r.name) for r in rules])
 
 
 def long_summary(model: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """One row per rule: the first uniqueness rule rides along with the row
-    rules, each further one is a grouping of its own."""
-    unique_rules = [r for r in rules if isinstance(r, UniqueRule)]
-    folded = [r for r in rules if r not in unique_rules[1:]]
-    parts = [_unpivot(model, df, folded)] + [_unpivot(model, df, [r]) for r in unique_rules[1:]]
-    return _stack(parts)
-
-
-def _unpivot(model: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """One row per rule with its violations."""
     rows = F.array(*[
         F.struct(F.lit(r.name).alias("rule"), F.col(r.name).cast("bigint").alias("violations"))
         for r in rules

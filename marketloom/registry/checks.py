@@ -11,7 +11,7 @@ from marketloom.quality import rules, suites
 from marketloom.registry import inputs as src
 from marketloom.registry import sqltext as q
 from marketloom.registry.catalog import register
-from marketloom.registry.snapshot import GOLD_BY_DAY, SILVER_BY_DAY, event_documents, silver_by_day
+from marketloom.registry.snapshot import GOLD_BY_DAY, SILVER_BY_DAY, event_documents, silver_by_day, stg_pairs, stg_users
 from marketloom.sources import documents
 
 
@@ -55,7 +55,7 @@ def dq_gold_summary(spark, sf_dir):
     return _counts(suites.nan_free(gold), suites.gold_rules(), "gold")
 
 
-@register("dq_model_rules", q.with_ctes(q.ORDERS + ",\n" + q.TRADES + ",\n" + q.EVENTS + ",\n" + q.TICKS, "\nUNION ALL\n".join([
+@register("dq_model_rules", q.with_ctes(",\n".join([q.DAILY_MARKET, q.DAILY_TRADING, q.EVENTS_DAILY, q.ACTIVE]), "\nUNION ALL\n".join([
     _count_sql("orders", "ord", {
         "not_null_order_id": "order_id IS NULL", "not_null_user_id": "user_id IS NULL",
         "not_null_pair": "pair IS NULL", "price_positive": "NOT price > 0", "quantity_positive": "NOT quantity > 0"}),
@@ -76,13 +76,32 @@ def dq_gold_summary(spark, sf_dir):
         "not_null_account_id": "c_custkey IS NULL", "not_null_user_id": "c_custkey IS NULL",
         "not_null_currency": "c_mktsegment IS NULL"}),
     _duplicates_sql("accounts", "unique_account_id", "customer", "c_custkey"),
+    _count_sql("users", "customer", {
+        "not_null_user_id": "c_custkey IS NULL", "not_null_email": "c_name IS NULL", "email_has_at": "FALSE"}),
+    _duplicates_sql("users", "unique_user_id", "customer", "c_custkey", "c_custkey IS NOT NULL"),
+    _count_sql("assets", "part", {"not_null_asset_id": "p_partkey IS NULL", "not_null_symbol": "p_brand IS NULL"}),
+    _duplicates_sql("assets", "unique_asset_id", "part", "p_partkey", "p_partkey IS NOT NULL"),
+    _duplicates_sql("assets", "unique_symbol", "part", "p_brand", "p_brand IS NOT NULL"),
+    _count_sql("pairs", "part", {"not_null_pair_id": "p_partkey IS NULL"}),
+    _duplicates_sql("pairs", "unique_pair_id", "part", "p_partkey", "p_partkey IS NOT NULL"),
+    _count_sql("daily_market", "daily_market", {"not_null_date": "date IS NULL", "not_null_symbol": "symbol IS NULL"}),
+    _count_sql("orders_trades", "orders_trades", {"not_null_order_id": "order_id IS NULL", "not_null_user_id": "user_id IS NULL"}),
+    _count_sql("daily_trading", "daily_trading", {"not_null_date": "date IS NULL", "not_null_symbol": "symbol IS NULL"}),
+    _count_sql("user_events_daily", "events_daily", {"not_null_date": "date IS NULL"}),
+    _count_sql("user_trading_activity", "active", {"not_null_date": "date IS NULL", "not_null_user_id": "user_id IS NULL"}),
 ])))
 def dq_model_rules(spark, sf_dir):
-    """Every column rule of five staging models; trade ids repeat in the test data."""
+    """Every column rule of the 13 models; trade ids and symbols repeat in the test data."""
+    orders, trades, events = src.orders(spark, sf_dir), src.trades(spark, sf_dir), src.user_events(spark, sf_dir)
     models = {
-        "orders": src.orders(spark, sf_dir), "trades": src.trades(spark, sf_dir),
-        "user_events": src.user_events(spark, sf_dir), "summaries": src.ticks(spark, sf_dir),
-        "accounts": src.accounts(spark, sf_dir),
+        "orders": orders, "trades": trades, "user_events": events, "summaries": src.ticks(spark, sf_dir),
+        "accounts": src.accounts(spark, sf_dir), "users": stg_users(spark, sf_dir),
+        "assets": src.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("asset_id"), F.col("p_brand").alias("symbol")),
+        "pairs": stg_pairs(spark, sf_dir),
+        "daily_market": daily.daily_market(src.ticks(spark, sf_dir), "event_id"),
+        "orders_trades": daily.orders_trades(orders, trades), "daily_trading": daily.daily_trading(orders, trades),
+        "user_events_daily": daily.user_events_daily(events),
+        "user_trading_activity": daily.user_trading_activity(orders, trades, events),
     }
     return rules.run_rules(models, suites.model_rules())
 

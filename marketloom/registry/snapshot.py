@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from marketloom import functions as fx
 from marketloom.operators.dedup import keep_first, latest_only
-from marketloom.plans import snapshot, staging, star
+from marketloom.plans import models, snapshot, staging, star
 from marketloom.registry import inputs as src
 from marketloom.registry import sqltext as q
 from marketloom.registry.catalog import register
 from marketloom.sources import tables
+from marketloom.sources.catalog import register_models
 from marketloom.sources.landing import dataset_root
 
 
@@ -564,3 +565,68 @@ def incremental_marks(spark, sf_dir):
         for n, t, c, m in plan
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _bronze(spark, sf_dir) -> dict[str, DataFrame]:
+    """The nine source tables as Bronze holds them."""
+    day = F.lit("2024-01-01T00:00:00Z")
+    customer, part, orders = (src.table(spark, sf_dir, t) for t in ("customer", "part", "orders"))
+    quotes = src.table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("pair"), *[F.col("value").alias(c) for c in ("last", "buy", "sell", "high", "low", "vol_idr")],
+        F.col("user_id").alias("vol_coin"), F.col("ts").alias("created_at"), F.col("event_id").cast("string").alias("run_id"))
+    return {f"bronze.{name}": df for name, df in {
+        "users": customer.select(
+            F.col("c_custkey").alias("user_id"), F.concat("c_name", F.lit("@example.com")).alias("email"),
+            F.col("c_name").alias("full_name"), (F.col("c_acctbal") > 0).alias("is_active"),
+            day.alias("created_at"), day.alias("updated_at")),
+        "accounts": src.accounts(spark, sf_dir).select("*", day.alias("created_at"), day.alias("updated_at")),
+        "assets": part.select(
+            F.col("p_partkey").alias("asset_id"), F.col("p_brand").alias("symbol"), F.col("p_name").alias("name"),
+            F.col("p_size").alias("precision"), day.alias("created_at")),
+        "orders": src.orders(spark, sf_dir), "trades": src.trades(spark, sf_dir),
+        "transactions": orders.select(
+            F.col("o_orderkey").alias("transaction_id"), F.col("o_custkey").alias("account_id"),
+            F.col("o_totalprice").alias("amount"), F.col("o_orderpriority").alias("type"),
+            F.col("o_orderstatus").alias("status"), F.col("o_orderdate").alias("created_at")),
+        "user_events": event_documents(spark, sf_dir), "summaries": quotes,
+        "pairs": snapshot.tabular_pairs(part.select(
+            F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("ticker_id"),
+            F.col("p_name").alias("traded_currency_unit"), F.col("p_brand").alias("base_currency"),
+            F.col("p_type").alias("traded_currency"),
+            F.lit(dataset_root("landing", "exchange", "pairs") + "/pairs_20260824T000000Z.json").alias("source_file"))),
+    }.items()}
+
+
+#: What is summed to tell a view by: the table or CTE and its expression, and the view's column.
+_VIEW_SUMS = {
+    "staging.users": ("customer", "c_custkey", "user_id"),
+    "staging.accounts": ("customer", "c_acctbal", "balance"),
+    "staging.assets": ("part", "p_size", "precision"),
+    "staging.orders": ("ord", "quantity", "quantity"),
+    "staging.trades": ("trd", "price", "price"),
+    "staging.transactions": ("orders", "o_totalprice", "amount"),
+    "staging.user_events": ("events", "user_id", "user_id"),
+    "staging.summaries": ("ticks", "last_price", "last_price"),
+    "staging.pairs": ("part", "p_partkey", "pair_id"),
+    "intermediate.daily_market": ("daily_market", "volume_asset", "volume_asset"),
+    "intermediate.orders_trades": ("orders_trades", "trade_quantity", "trade_quantity"),
+    "intermediate.daily_trading": ("daily_trading", "total_orders", "total_orders"),
+    "intermediate.user_events_daily": ("events_daily", "active_users", "active_users"),
+    "intermediate.user_trading_activity": ("active", "user_id", "user_id"),
+}
+
+
+@register("model_views", q.with_ctes(",\n".join([q.DAILY_MARKET, q.DAILY_TRADING, q.EVENTS_DAILY, q.ACTIVE]), " UNION ALL ".join(
+    f"SELECT '{key}' AS model, count(*) AS n, CAST(sum(CAST({value} AS DECIMAL(28,8))) AS DECIMAL(38,8)) AS total FROM {table}"
+    for key, (table, value, _) in _VIEW_SUMS.items())))
+def model_views(spark, sf_dir):
+    """All 14 models built from Bronze and read through the views of their layers: rows and one sum of each."""
+    built = models.build(models.declared(F.lit("2024-01-02").cast("timestamp")), _bronze(spark, sf_dir))
+    views = dict(zip(built, register_models(built), strict=True))
+    out = None
+    for key, (_, _, column) in _VIEW_SUMS.items():
+        total = F.sum(F.col(column).cast("decimal(28,8)")).cast("decimal(38,8)")
+        row = spark.table(views[key]).agg(F.count(F.lit(1)).alias("n"), total.alias("total")).select(
+            F.lit(key).alias("model"), "n", "total")
+        out = row if out is None else out.union(row)
+    return out

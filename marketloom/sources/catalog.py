@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 # The nine source tables and the kind of system each comes from. Fixed values.
@@ -30,3 +32,12 @@ def register_views(tables: dict[str, DataFrame], layer: str = "bronze") -> list[
 
 def list_views(spark: SparkSession, layer: str = "bronze") -> list[str]:
     return sorted(t.name for t in spark.catalog.listTables() if t.name.startswith(f"{layer}_"))
+
+
+def register_models(built: Mapping[str, DataFrame]) -> list[str]:
+    """Views of models given by ``layer.name``, each in its layer; returns the views' names."""
+    names = []
+    for key, df in built.items():
+        layer, name = key.split(".", 1)
+        names += register_views({name: df}, layer)
+    return names

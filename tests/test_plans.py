@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from marketloom.plans import daily, marts
+from marketloom.plans import daily, marts, models
+from marketloom.quality import rules, suites
 from marketloom.registry import QUERIES
 from marketloom.registry import inputs as src
 
@@ -135,3 +136,30 @@ def test_no_products_no_python(spark, sf_dir, name):
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "BatchEvalPython",
                  "MapInPandas", "collect_list", "collect_set"):
         assert node not in p
+
+
+def test_rules_send_keys_only(spark, sf_dir):
+    """One scan and one exchange of keys; what breaks row rules is settled before it."""
+    shape = plan(rules.long_summary("trades", src.trades(spark, sf_dir), suites.model_rules()["trades"]))
+    assert shape.count("FileScan") == 1
+    keys = [line for line in shape.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(keys) == 1 and keys[0].count("_key_") == 1 and "price" not in keys[0]
+    assert shape.count("HashAggregate") == 4 and "SortAggregate" not in shape
+
+
+def test_models_are_built_in_order_and_shared_ones_stored_once(spark):
+    stored, one = [], spark.range(3)
+
+    def store(df, label):
+        stored.append(label)
+        return df
+
+    a, b = models.Model("a", "x", ("bronze.s",), lambda s: s), models.Model("b", "y", ("x.a",), lambda s: s)
+    both = models.Model("both", "y", ("y.b", "x.a"), lambda s, t: s.union(t))
+    absent = models.Model("absent", "y", ("bronze.t", "x.a"), lambda s, t: s)
+    built = models.build([both, absent, b, a], {"bronze.s": one}, store)
+    assert set(built) == {"x.a", "y.b", "y.both"} and stored == ["x-a"] and built["y.both"].count() == 6
+    with pytest.raises(KeyError, match="bronze.other"):
+        models.build([a], {"bronze.other": one}, store)
+    with pytest.raises(ValueError):  # a circle
+        models.build([models.Model("c", "x", ("x.c",), lambda s: s)], {}, store)
