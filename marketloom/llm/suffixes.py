@@ -433,7 +433,8 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shallo
         return [(s, e) for s, e in out]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # Documents are taken some at a time: each may hold many windows as Python objects.
+        for batch in (whole.slice(s, 256) for whole in batches for s in range(0, whole.num_rows, 256)):
             spans, kept = [], []
             for text, windows in zip(batch["_text"].to_pylist(), batch["_windows"].to_pylist(), strict=True):
                 raw, at, parts = (text or "").encode(), 0, []
