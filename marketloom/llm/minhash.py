@@ -8,14 +8,17 @@ more bits than a pair at the threshold does, by ``SIGMAS`` standard deviations,
 or whose sizes rule the threshold out, go no further. The others are verified on
 their full sets, and verified links joined to components.
 
-A band's classes are not compared pair by pair. First each class meets the
-smallest class of each of its bands. Then only bands that still hold several
-components count: classes outside a band's main component meet all others
-there, a bounded number of them each turn. A band's main component is that of
-one class for good, so a pair that one turn leaves out is in another, and no link
-within a band is lost. With 48 bands of 6 rows a pair at similarity 0.8 shares no
-band with a probability below 1e-6, and fails the signatures with one of about
-1e-5.
+A large band's classes are not compared pair by pair. First each class meets
+the smallest class of each of its bands. Then only bands that still hold several
+components count. In those of at most ``SMALL_BAND`` classes, classes of
+different components meet. A larger one takes the representative of its main
+component as a pivot. Two sets differ from each other in exactly the shingles in
+which one of their differences from the pivot has what the other lacks, so the
+differences alone say how many of their shingles a linked pair must share. Sets
+linked with the pivot are one component; any other one meets only those that share
+one of its rarest such shingles (a prefix filter), so no link within a band is
+lost. With 48 bands of 6 rows a pair at similarity 0.8 shares no band with a
+probability below 1e-6, and fails the signatures with one of about 1e-5.
 
 Edge cases: a text without words has an empty set and links with nothing; a
 text shorter than a shingle is one shingle; each row is a document of its own,
@@ -40,8 +43,8 @@ from marketloom.llm.rows import numbered
 from marketloom.session import materialize
 
 BANDS, ROWS = 48, 6
-#: Classes outside a band's main component that meet all others in one turn.
-SMALL_BAND = 256
+#: Classes of a band that are compared pair by pair; a larger band has a pivot.
+SMALL_BAND = 64
 #: How far from its mean a true pair's count of differing signature bits may lie.
 SIGMAS = 4.5
 #: Classes that meet one other class in one task; more are spread by a salt.
@@ -150,11 +153,10 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return chosen.mapInArrow(sets, "id long, hashes binary")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) with den * intersection >= num * union of their full sets.
+def _meeting(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, salt, member, id, hashes): the set of each a, then those of all b that meet it, in one task.
 
-    The sets of all b that meet an a travel to the task that has a's set; an a
-    with many partners is repeated for every ``PER_TASK`` of them.
+    An a with many partners is repeated for every ``PER_TASK`` of them.
     """
     many = materialize(
         pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PER_TASK).cast("int").alias("salts")), "pair-salts")
@@ -164,6 +166,11 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     )
     centers = many.join(sets, F.col("a") == F.col("id")).select(
         "a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("member"), "id", "hashes")
+    return members.unionByName(centers).repartition("a", "salt").sortWithinPartitions("a", "salt", "member")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) with den * intersection >= num * union of their full sets."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, own, center = None, np.empty(0, np.uint64), -1
@@ -188,10 +195,65 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
                     b_out.append(id_)
             yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
 
-    return (
-        members.unionByName(centers).repartition("a", "salt").sortWithinPartitions("a", "salt", "member")
-        .mapInArrow(compare, "a long, b long")
-    )
+    return _meeting(pairs, sets).mapInArrow(compare, "a long, b long")
+
+
+def differences(pivots: DataFrame, sets: DataFrame) -> DataFrame:
+    """(pivot, id, p, n, delta): sizes of the pivot's and the class's sets and what only one of them has."""
+
+    def subtract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, own = None, np.empty(0, np.uint64)
+        for whole in batches:
+            for batch in (whole.slice(s, 512) for s in range(0, whole.num_rows, 512)):
+                out: list[tuple] = []
+                rows = zip(*(batch[c].to_pylist() for c in ("a", "salt", "member", "id", "hashes")), strict=True)
+                for a, salt, member, id_, raw in rows:
+                    h = np.frombuffer(raw, np.uint64)
+                    if not member:
+                        at, own = (a, salt), h
+                    elif at == (a, salt):
+                        out.append((a, id_, len(own), len(h), np.setxor1d(own, h, assume_unique=True).view(np.int64)))
+                if out:
+                    kinds = (*[pa.int64()] * 4, pa.list_(pa.int64()))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
+                        names=["pivot", "id", "p", "n", "delta"])
+
+    return _meeting(pivots.toDF("a", "b"), sets).mapInArrow(subtract, "pivot long, id long, p long, n long, delta array<long>")
+
+
+def pivot_pairs(grouped: DataFrame, sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Links with the pivots, and the pairs (a, b) that may be linked, of (pivot, id, c) with components c.
+
+    With s = (den - num) / (den + num), sets x and y are linked if they differ in
+    at most s (x + y) shingles. Their differences d from a pivot p must share
+    half of d_x + d_y - s (x + y) at least. What is not linked with p itself has
+    d_x > s (x + p), and every set has d_y >= s (y - p). These bounds give the
+    prefixes, the two sets' own sizes the rest.
+    """
+    s_den, s_num = den + num, den - num
+    apart = materialize(
+        differences(grouped.select("pivot", "id"), sets).join(grouped, ["pivot", "id"])
+        .withColumn("d", F.size("delta").cast("bigint")).withColumn("e", s_den * F.col("d") - s_num * F.col("n")), "differences")
+    outside = F.col("e") > s_num * F.col("p")
+    linked = apart.where(~outside & (F.col("pivot") != F.col("id"))).select(F.col("pivot").alias("a"), F.col("id").alias("b"))
+    shingles = materialize(apart.select("pivot", "id", F.explode("delta").alias("h")), "delta-shingles")
+    often = shingles.groupBy("pivot", "h").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    # What nothing else has comes first and is only counted.
+    shared = shingles.join(often, ["pivot", "h"]).groupBy("pivot", "id").agg(
+        F.sort_array(F.collect_list(F.struct("times", "h"))).alias("shared"))
+    placed = materialize(
+        apart.drop("delta").join(shared, ["pivot", "id"])
+        .select("pivot", "id", "p", "c", "d", "e", F.posexplode("shared").alias("i", "x"), F.size("shared").alias("k"))
+        .withColumn("rest", F.col("k") - F.col("i")).select("pivot", "id", "p", "c", "e", "rest", F.col("x.h").alias("h")),
+        "delta-prefixes")
+    centers = placed.where(outside & (2 * s_den * F.col("rest") >= F.col("e") - s_num * F.col("p"))).select(
+        "pivot", "h", F.col("id").alias("a"), F.col("c").alias("c_a"), F.col("e").alias("e_a"), F.col("rest").alias("rest_a"))
+    near = placed.where(2 * s_den * F.col("rest") >= F.col("e") + s_num * F.col("p")).select(
+        "pivot", "h", F.col("id").alias("b"), F.col("c").alias("c_b"), F.col("e").alias("e_b"), F.col("rest").alias("rest_b"))
+    fits = 2 * s_den * F.least("rest_a", "rest_b") >= F.col("e_a") + F.col("e_b")
+    pairs = centers.join(near, ["pivot", "h"]).where((F.col("c_a") != F.col("c_b")) & fits)
+    return linked, pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def alike(a: str, b: str, minima: int, num: int, den: int) -> Column:
@@ -210,13 +272,11 @@ def _labelled(live: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _open_bands(rows: DataFrame) -> DataFrame:
-    """Bands with more than one component: a class of the largest one, and the turns for the classes outside it."""
+    """(band, size, main): bands with more than one component, with the largest one."""
     return (
-        rows.groupBy("band", "c").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"))
-        .groupBy("band").agg(F.sum("n").alias("size"), F.max(F.struct("n", "id")).alias("most"), F.count(F.lit(1)).alias("parts"))
-        .where("parts > 1")
-        .select("band", F.col("most.id").alias("anchor"),
-                F.ceil((F.col("size") - F.col("most.n")) / SMALL_BAND).cast("bigint").alias("turns"))
+        rows.groupBy("band", "c").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("band").agg(F.sum("n").alias("size"), F.max(F.struct("n", "c")).alias("most"), F.count(F.lit(1)).alias("parts"))
+        .where("parts > 1").select("band", "size", F.col("most.c").alias("main"))
     )
 
 
@@ -277,32 +337,19 @@ def grouped_rows(docs: DataFrame, width: int = 5, num: int = 8, den: int = 10, b
     live = members.select("band", "id").join(of, "id")
     marked = materialize(_labelled(live, labels), "marked-bands")
     open_ = materialize(_open_bands(marked.select("band", "id", "c")), "open-bands")
-    turn = 0
-    while True:
-        # The main component of a band is that of its anchor, as far as it has grown by now.
-        anchors = open_.where(F.col("turns") > turn).join(
-            labels.select(F.col("node").alias("anchor"), F.col("component_id").alias("main")), "anchor", "left").select(
-            "band", "turns", F.coalesce("main", "anchor").alias("main"))
-        centers = materialize(
-            marked.select("band", F.col("id").alias("a"), F.col("c").alias("c_a"), F.col("sig").alias("sig_a"))
-            .join(anchors, "band").withColumn("turn", F.pmod(F.xxhash64("a"), F.col("turns")))
-            .where((F.col("c_a") != F.col("main")) & (F.col("turn") >= turn)).drop("turns", "main"), "centers")
-        most = centers.groupBy("band").count().agg(F.max("count")).first()[0]
-        if not most:
-            break
-        last = most <= SMALL_BAND  # so few are left that all can have their turn
-        near = marked.select("band", F.col("id").alias("b"), F.col("c").alias("c_b"), F.col("sig").alias("sig_b"))
-        pairs = materialize(
-            centers.where(F.lit(last) | (F.col("turn") == turn)).drop("turn").join(near, "band")
-            .where((F.col("c_a") != F.col("c_b")) & alike("sig_a", "sig_b", bands * rows, num, den))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "open-pairs")
-        if not pairs.isEmpty():
-            labels = _joined(labels, materialize(verified(pairs, sets, num, den), "links"))
-        if last:
-            break
-        turn += 1
-        live = marked.select("band", "id", "sig").join(open_.where(F.col("turns") > turn).select("band"), "band", "left_semi")
-        marked = materialize(_labelled(live, labels), "marked-bands")
+    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("c", "sig")]
+    small = marked.join(open_.where(F.col("size") <= SMALL_BAND).select("band"), "band", "left_semi")
+    pairs = (
+        small.select("band", F.col("id").alias("a"), *side("a")).join(small.select("band", F.col("id").alias("b"), *side("b")), "band")
+        .where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & alike("sig_a", "sig_b", bands * rows, num, den))
+        .select("a", "b").distinct()
+    )
+    grouped = materialize(
+        marked.join(open_.where(F.col("size") > SMALL_BAND).select("band", F.col("main").alias("pivot")), "band")
+        .select("pivot", "id", "c").distinct(), "pivot-classes")
+    linked, far = pivot_pairs(grouped, sets, num, den)
+    pairs = materialize(pairs.union(far).distinct(), "open-pairs")
+    labels = _joined(labels, materialize(verified(pairs, sets, num, den).union(linked), "links"))
     classes = reps.select("digest", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "digest", F.coalesce("component_id", "rep").alias("component_id"))
     whole = signatures.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")

@@ -1,6 +1,7 @@
 """Operators on documents against plain versions and the contracts' edge cases."""
 
 import random
+import re
 import zlib
 from collections import Counter
 from math import log10
@@ -160,6 +161,32 @@ def test_near_copies_equal_plain(monkeypatch, as_documents, edge_rows, small_ban
                    for i, t, _, _ in rows for r in [got[i]])
 
 
+def test_copies_that_stay_apart_are_not_compared_pair_by_pair(monkeypatch, spark):
+    rng, compared = random.Random(4), []
+
+    def variant(k):
+        words = [f"b{i}" for i in range(150)]
+        for at in rng.sample(range(150), 4 + k % 9):
+            words[at] = f"n{rng.randrange(10**9)}"
+        return " ".join(words)
+
+    rows = [(i, variant(i)) for i in range(240)]
+    rows += [(300 + i, rows[i][1] + " and so on") for i in range(0, 240, 12)]  # linked with one that may stay apart
+    verified = minhash.verified
+
+    def counted(pairs, *args):
+        compared.append(pairs.count())
+        return verified(pairs, *args)
+
+    monkeypatch.setattr(minhash, "verified", counted)
+    monkeypatch.setattr(minhash, "SMALL_BAND", 16)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=2).collect()
+    want = near_groups(rows, 2, 8, 10)
+    assert {r.doc_id: r.component_id for r in got} == want
+    assert len(set(want.values())) > 50  # of 260
+    assert sum(compared) < 60 * len(rows)  # 170 where each class outside the main component met all others
+
+
 def test_near_copies_edge_cases(as_documents, edge_rows):
     docs = as_documents([*edge_rows, (None, "word", "en", "a"), (None, "alone here", "en", "a")])
     got = minhash.near_duplicates(docs).collect()
