@@ -436,7 +436,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shallo
         # Documents are taken some at a time: each may hold many windows as Python objects.
         for batch in (whole.slice(s, 256) for whole in batches for s in range(0, whole.num_rows, 256)):
             spans, kept = [], []
-            for text, windows in zip(batch["_text"].to_pylist(), batch["_windows"].to_pylist(), strict=True):
+            for text, windows in zip(batch["row"].field("text").to_pylist(), batch["_windows"].to_pylist(), strict=True):
                 raw, at, parts = (text or "").encode(), 0, []
                 spans.append([{"from": s, "to": e} for s, e in spans_of(windows)])
                 for s, e in spans_of(windows):
@@ -450,8 +450,8 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shallo
                 [batch["row"], pa.array(spans, pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))),
                  pa.array(kept, pa.binary())], names=["row", "spans", "kept"])
 
-    rows = own.select("row", F.col("id").alias("_id"), F.col("row.text").alias("_text"))
-    joined = rows.join(found, F.col("_id") == F.col("_doc_id"), "left").select(
-        "row", "_text", F.col("windows").alias("_windows"))
+    # The text crosses the exchange once, inside its row.
+    rows = own.select("row", F.col("id").alias("_id"))
+    joined = rows.join(found, F.col("_id") == F.col("_doc_id"), "left").select("row", F.col("windows").alias("_windows"))
     kind = rows.schema["row"].dataType.simpleString()
     return joined.mapInArrow(cut, f"row {kind}, spans array<struct<from: bigint, to: bigint>>, kept binary")

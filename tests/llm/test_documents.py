@@ -230,6 +230,12 @@ def test_repeats_edge_cases(monkeypatch, as_documents, edge_rows):
     assert suffixes.deduplicated(docs.limit(0)).count() == 0
 
 
+def test_texts_cross_the_last_exchange_once(as_documents, edge_rows):
+    plan = suffixes.deduplicated(as_documents(edge_rows[2:]))._jdf.queryExecution().optimizedPlan().toString()
+    columns = re.findall(r"Join LeftOuter.*\n(.*)", plan)  # the side that has the rows
+    assert len(columns) == 1 and "AS row" in columns[0] and " AS _text" not in columns[0]
+
+
 def test_repeats_of_rows_that_share_an_id(as_documents):
     rng = random.Random(3)
     p, x, other = ("".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (300, 100, 400))
