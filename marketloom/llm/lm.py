@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -93,11 +94,16 @@ def most_frequent(counts: DataFrame, most: int) -> list[tuple[str, int]]:
 
 def scattered(index: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     """Rows of ``values`` summed by index."""
-    return np.stack([np.bincount(index, column, n) for column in np.ascontiguousarray(values.T)], axis=1)
+    width = values.shape[1]
+    at = index[:, None] * width + np.arange(width)
+    return np.bincount(at.ravel(), values.ravel(), n * width).reshape(n, width)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    y = np.clip(x, -30, 30)
+    np.exp(np.negative(y, out=y), out=y)
+    y += 1
+    return np.divide(1, y, out=y)
 
 
 class LogBilinear:
@@ -123,13 +129,20 @@ class LogBilinear:
               squares: list[np.ndarray], noise: int, rate: float) -> None:
         """One AdaGrad step of noise-contrastive estimation, with noise shared by the batch."""
         drawn = rng.choice(len(self.log_q), noise, p=np.exp(self.log_q))
-        h = self.one[context1] + self.two[context2]
+        h = self.one.take(context1, axis=0)
+        h += self.two.take(context2, axis=0)
         log_k = np.log(noise)
-        true = (h * self.out[ids]).sum(axis=1) + self.bias[ids]
-        false = h @ self.out[drawn].T + self.bias[drawn]
+        target, negative = self.out.take(ids, axis=0), self.out.take(drawn, axis=0)
+        true = (h * target).sum(axis=1) + self.bias[ids]
+        false = h @ negative.T
+        false += self.bias[drawn]
+        false -= log_k
+        false -= self.log_q[drawn]
         g_true = 1 - sigmoid(true - log_k - self.log_q[ids])
-        g_false = -sigmoid(false - log_k - self.log_q[drawn])
-        g_h = g_true[:, None] * self.out[ids] + g_false @ self.out[drawn]
+        g_false = sigmoid(false)
+        np.negative(g_false, out=g_false)
+        g_h = np.multiply(target, g_true[:, None], out=target)
+        g_h += g_false @ negative
         n = len(self.bias)
         grads = [
             scattered(context1, g_h, n), scattered(context2, g_h, n),
@@ -174,11 +187,11 @@ def train(training: DataFrame, vocabulary: list[str], q: np.ndarray, dimensions:
             own.load(start.copy())
             squares = [np.zeros_like(p) for p in (own.one, own.two, own.out, own.bias)]
             rng = np.random.default_rng([seed, epoch])
-            held: list[int] = []
-            seen = 0
+            held: list[np.ndarray] = []
+            waiting = seen = 0
 
             def step() -> int:
-                ids = np.array(held)
+                ids = np.concatenate(held)
                 one, two = shifted(ids, np.flatnonzero(ids == end_id), end_id)
                 for s in range(0, len(ids), batch_tokens):
                     e = s + batch_tokens
@@ -188,9 +201,12 @@ def train(training: DataFrame, vocabulary: list[str], q: np.ndarray, dimensions:
 
             for batch in batches:
                 for text in batch["text"].to_pylist():
-                    held.extend([index.get(w, other) for w in tokens(text)])
-                    if len(held) >= 16 * batch_tokens:
+                    words = tokens(text)
+                    held.append(np.fromiter(map(index.get, words, repeat(other)), np.int64, len(words)))
+                    waiting += len(words)
+                    if waiting >= 16 * batch_tokens:
                         seen += step()
+                        waiting = 0
             if held:
                 seen += step()
             if seen:
@@ -232,18 +248,24 @@ def scored(docs: DataFrame, vocabulary: int = VOCABULARY, frequent: int = FREQUE
     model_id[-1] = len(known) - 1
     end_id, other_id, is_known = len(known) - 1, len(known), n > 0
 
+    def log_probability(ids: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        h = model.one.take(one, axis=0)
+        h += model.two.take(two, axis=0)
+        h *= model.out.take(ids, axis=0)
+        return h.sum(axis=1) + model.bias[ids] - zs[one, two]
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = {w.encode(): i for i, w in enumerate(words)}
         for whole in batches:
             for batch in (whole.slice(s, 256) for s in range(0, whole.num_rows, 256)):
                 texts = [tokens(t) for t in batch["text"].to_pylist()]
-                at = np.fromiter((index.get(w, -1) for t in texts for w in t), np.int64)
                 sizes = np.array([len(t) for t in texts])
+                at = np.fromiter(map(index.get, chain.from_iterable(texts), repeat(-1)), np.int64, sizes.sum())
                 first = np.cumsum(sizes) - sizes
                 rare = at < 0
                 ids = np.where(rare, other_id, model_id[at])
                 one, two = shifted(ids, np.cumsum(sizes) - 1, end_id)
-                s = ((model.one[one] + model.two[two]) * model.out[ids]).sum(axis=1) + model.bias[ids] - zs[one, two]
+                s = np.concatenate([log_probability(*(x[k:k + BATCH] for x in (ids, one, two))) for k in range(0, len(ids), BATCH)])
                 s = s / np.log(10) + np.where(~rare & (ids == other_id), in_other[at], 0)
                 b = np.where(rare, 0, base_log[at])
                 left = [list(Counter(w for w, r in zip(t, rare[f:f + len(t)].tolist(), strict=True) if r).items())
