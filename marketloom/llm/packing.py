@@ -17,6 +17,7 @@ each; a text longer than a sequence is cut; an empty table gives no pieces.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +39,14 @@ class WordIds:
     """Ids of texts, word by word, as little-endian 32-bit bytes.
 
     White space always ends a token, so a text's ids are its words' ids one
-    after the other and frequent words are looked up. New words are encoded
-    together, with a word between them whose id nothing else can have.
+    after the other and frequent words are looked up. New words of Latin
+    letters, with at most one mark at the end, go straight to the tokenizer's
+    model, letters and mark apart as the tokenizer takes them. The others are
+    encoded together, with a word between them whose id nothing else can have.
     """
 
     MARK = "|"
+    PLAIN = r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)"
     ODD_SPACES = r"[\x1c-\x1f\x85\xa0  -     　]"
 
     def __init__(self, tokenizer_path: str, cached: int) -> None:
@@ -54,6 +58,12 @@ class WordIds:
         self.mark = self.encode(self.MARK)
         self.cached = cached
         self.known: dict[str, bytes] = {}
+        self.letters = re.compile(self.PLAIN).fullmatch
+        self.ends = {end: self.encode(end) for end in ("", ".", ",")}
+        # The model's alphabet: printable Latin-1 as it is, other bytes from 256 on.
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.alphabet = dict(zip((b for b in range(256) if b not in printable), range(256, 512), strict=False))
+        self.tokenize = self.tokenizer.model.tokenize
         self.odd = re.compile(self.ODD_SPACES)
         self.plain = re.compile(r"[ \t\n\r\x0b\x0c]+")
 
@@ -65,6 +75,19 @@ class WordIds:
         return [w for w in self.plain.split(text) if w] if self.odd.search(text) else text.split()
 
     def learn(self, words: set[str]) -> None:
+        whole = set()
+        for word in words:
+            if found := self.letters(word):
+                core = found[1].lower()
+                if not core.isascii():
+                    core = core.encode().decode("latin-1").translate(self.alphabet)
+                ids = [t.id for t in self.tokenize(core)]
+                self.known[word] = pack_ids(f"<{len(ids)}I", *ids) + self.ends[found[2]]
+            else:
+                whole.add(word)
+        self.learn_whole(whole)
+
+    def learn_whole(self, words: set[str]) -> None:
         plain = [w for w in words if self.MARK not in w]
         if plain:
             raw = self.encode(f" {self.MARK} ".join(plain))
@@ -78,7 +101,7 @@ class WordIds:
         if len(self.known) > self.cached:
             self.known.clear()
         split = [self.split(t) for t in texts]
-        self.learn({w for words in split for w in words if w not in self.known})
+        self.learn(set().union(*split).difference(self.known))
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for words in split]
 

@@ -44,6 +44,23 @@ def test_packing_is_exact(spark, as_documents, edge_rows):
         assert at <= packing.CAPACITY
 
 
+def test_plain_words_skip_the_whole_tokenizer(monkeypatch):
+    from tokenizers import Tokenizer
+
+    rng = random.Random(6)
+    plain = ["Word", "word.", "WORD,", "Straße,", "ÀÉÎ.", "ÿþð", "naïve", "it", "s"]
+    plain += ["".join(rng.choice("abcXYZéÖñßÞ") for _ in range(rng.randrange(1, 12))) + rng.choice(["", ".", ","]) for _ in range(300)]
+    odd = ["it's", "a.b", "x..", "Ĳssel", "İ", "e\u0301", "ª", "ÿ\u0301,", "x×y", "a1,", ".", ",", "x|y", "<|endoftext|>,", "ΟΔΟΣ.", "ﬁn,"]
+    whole = []
+    learn_whole = packing.WordIds.learn_whole
+    monkeypatch.setattr(packing.WordIds, "learn_whole", lambda self, words: (whole.extend(words), learn_whole(self, words)))
+    text = " ".join(rng.sample([*plain, *odd], len(plain) + len(odd)))
+    got = packing.WordIds(queries.tokenizer(), 1000).of([text, ""])
+    want = Tokenizer.from_file(queries.tokenizer()).encode(text, add_special_tokens=False).ids
+    assert got == [np.array(want, "<u4").tobytes(), b""]
+    assert sorted(whole) == sorted(odd)
+
+
 def test_patterns_cover_the_demand():
     rng = random.Random(1)
     for n in (1, 7, 300, 5000):
